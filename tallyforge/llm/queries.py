@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
+from . import jaccard_join, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_jaccard_join": jaccard_join.op5,
+        "op10_token_output": token_output.op10,
     }
 
 
