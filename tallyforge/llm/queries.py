@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, token_output
+from . import decontaminate, jaccard_join, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": decontaminate.op1,
         "op5_jaccard_join": jaccard_join.op5,
         "op10_token_output": token_output.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_decontaminate": decontaminate.SQL,
+    }
