@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, token_output
+from . import decontaminate, jaccard_join, mix_sources, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": decontaminate.op1,
         "op5_jaccard_join": jaccard_join.op5,
+        "op8_mix_sources": mix_sources.op8,
         "op10_token_output": token_output.op10,
     }
 
@@ -20,4 +21,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.SQL,
+        "op8_mix_sources": mix_sources.SQL,
     }
