@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, mix_sources, token_output
+from . import decontaminate, jaccard_join, mix_sources, quality_classifier, quality_rules, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": decontaminate.op1,
+        "op3_quality_rules": quality_rules.op3,
         "op5_jaccard_join": jaccard_join.op5,
+        "op6_quality_classifier": quality_classifier.op6,
         "op8_mix_sources": mix_sources.op8,
         "op10_token_output": token_output.op10,
     }
@@ -21,5 +23,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.SQL,
+        "op6_quality_classifier": quality_classifier.op6,
         "op8_mix_sources": mix_sources.SQL,
     }
