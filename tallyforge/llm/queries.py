@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, mix_sources, quality_classifier, quality_rules, token_output
+from . import decontaminate, jaccard_join, language_id, mix_sources, quality_classifier, quality_rules, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": quality_rules.op3,
         "op5_jaccard_join": jaccard_join.op5,
         "op6_quality_classifier": quality_classifier.op6,
+        "op7_language_id": language_id.op7,
         "op8_mix_sources": mix_sources.op8,
         "op10_token_output": token_output.op10,
     }
@@ -24,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.SQL,
         "op6_quality_classifier": quality_classifier.op6,
+        "op7_language_id": language_id.op7,
         "op8_mix_sources": mix_sources.SQL,
     }
