@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_id, mix_sources, quality_classifier, quality_rules, token_output
+from . import decontaminate, jaccard_join, language_id, lm_score, mix_sources, quality_classifier, quality_rules, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": decontaminate.op1,
+        "op2_lm_score": lm_score.op2,
         "op3_quality_rules": quality_rules.op3,
         "op5_jaccard_join": jaccard_join.op5,
         "op6_quality_classifier": quality_classifier.op6,
