@@ -111,16 +111,19 @@ def fit(sample: np.ndarray, bad: np.ndarray, trees: int, size: int, cost: float,
 def quality_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, trees: int = 40, size: int = 256, cost: float = 100.0, seed: int = 7) -> DataFrame:
     """(doc_id, the base statistics, base_failed, kept, anomaly) of each row.
 
-    The forests grow on, and the thresholds come from, at most `most_labelled` labelled rows, those with the
-    lowest hashes of their doc_id among those that pass the base rules; rows whose quality is null are unlabelled.  `anomaly` is the greatest ratio
+    The forests grow on, and the thresholds come from, about `most_labelled` labelled rows at most, those with
+    the lowest hashes of their doc_id among those that pass the base rules; rows whose quality is null are unlabelled.  `anomaly` is the greatest ratio
     of a score to its threshold, and a row is kept if the base rules pass and it is at most 1.  Without
     labelled rows of both kinds no threshold is set and the base rules alone decide.  A text without
     words fails the base rules.  Each row is judged by itself, so repeated rows agree.
     """
     stats = checkpoint(statistics(docs))
     marked = columns(labels, "doc_id", "quality").where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = stats.where("NOT " + BASE_FAILED).join(marked, "doc_id").select("f", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "n_words").limit(most_labelled).collect()
-    model = fit(np.array([r[0] for r in sample]), np.array([r[1] == 0 for r in sample]), trees, size, cost, seed) if sample else []
+    judged = checkpoint(stats.where("NOT " + BASE_FAILED).join(marked, "doc_id").select("doc_id", "n_words", "f", "quality"))
+    share = most_labelled / max(judged.count(), 1)
+    unit = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / F.lit(float(1 << 53))
+    sample = sorted((r[0], r[1], r[2], r[3]) for r in judged.where(unit < share).collect())
+    model = fit(np.array([r[2] for r in sample]), np.array([r[3] == 0 for r in sample]), trees, size, cost, seed) if sample else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
