@@ -21,85 +21,179 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import columns, documents, ensure_checkpoints, mix
+from .common import blocks, columns, documents, ensure_checkpoints, mix, span_hashes, utf8
 
 _U = np.uint64
 SHARDS = "part int, seq int, before long, n_ids long, width int, payload binary, offsets binary, keys binary, nulls int, seeds binary, prints binary, records binary"
 
-#: Fixed: Unicode's White_Space characters, on which byte-level pre-tokenizers split.
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WHITE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
+_ALPHA = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256)])
+_MARK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"])
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 class Encoder:
     """Ids of whole texts by a byte-level BPE file of the tokenizers library.
 
-    The library's pre-tokenizer never joins a run of white space and what follows, but for one space
-    before a word.  So a text's ids are those of its pieces (a word with the space before it, or other
-    white space), and each distinct piece is encoded once, many in a call.
+    The library's pre-tokenizer never joins white space and what follows, but for one space before a
+    word, nor a letter and a mark after it.  So a text's ids are those of its pieces between such places,
+    and each distinct piece is encoded once, many in a call.  Pieces are told apart by a 64-bit hash,
+    their first and last eight bytes and their length.  About `most` pieces are held; beyond, the half that
+    was met most often stays.  Texts with white space beyond ASCII's or with a special token are encoded whole.
     """
 
-    def __init__(self, spec: str, most: int = 400_000):
+    @staticmethod
+    def shared(spec: str) -> Encoder:
+        """One for each worker process: workers outlive tasks, but functions sent by value do not, so the library's module holds it."""
+        import tokenizers
+
+        held = vars(tokenizers).setdefault("_shared_encoders", {})
+        if spec not in held:
+            held[spec] = Encoder(spec)
+        return held[spec]
+
+    def __init__(self, spec: str, most: int = 1_000_000):
         import re
 
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(spec)
-        self.split = re.compile(f"[ ]?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+").findall
         size = self.tok.get_vocab_size(with_added_tokens=True)
         names = [self.tok.id_to_token(k) or "" for k in range(size)]
         self.spaced = np.array([x.startswith("Ġ") for x in names])
         self.line = self.tok.token_to_id("Ċ")
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content.encode()) for t in self.tok.get_added_tokens_decoder().values()]
+        # fixed: the bytes of NEL, the no-break space, and the blocks that hold Unicode's other spaces; control characters that some take for spaces
+        self.whole = re.compile(b"|".join([b"[\x1c-\x1f]", b"\xc2[\x85\xa0]", b"\xe1\x9a\x80", b"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]", b"\xe2\x81\x9f", b"\xe3\x80\x80", *special]))
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         self.most = most
-        self._reset()
-
-    def _reset(self) -> None:
-        self.place: dict[str, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.off, self.len = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-
-    def _keep(self, piece: str, ids: np.ndarray) -> None:
-        k = self.place[piece] = len(self.place)
-        if k >= len(self.off):
-            self.off, self.len = np.concatenate([self.off, self.off]), np.concatenate([self.len, self.len])
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, self.pool])
-        self.off[k], self.len[k] = self.used, len(ids)
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def _learn(self, pieces: list[str]) -> None:
-        spaced, plain, other = [], [], []
-        for x in pieces:
-            (other if x.isspace() else spaced if x[0] == " " else plain).append(x)
-        for group, lead in ((spaced, ""), (plain, "\n")):
-            for k in range(0, len(group), 2048):
-                part = group[k : k + 2048]
-                ids = np.array(self.tok.encode(lead + lead.join(part), add_special_tokens=False).ids, np.uint32)
-                begins = np.flatnonzero(self.spaced[ids] if not lead else ids == self.line)
-                if len(begins) != len(part):
-                    other += part
+        self.hash, self.form = np.zeros(0, np.uint64), np.zeros((0, 3), np.uint64)  # ascending by hash; first and last bytes, length
+        self._index()
+        self.off = self.len = self.hits = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _pieces(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        white = _WHITE[data]
+        head = np.zeros(len(data) + 1, bool)
+        head[at] = True  # where a text begins, or all end
+        begins = head[:-1].copy()
+        after = white.copy()
+        after[0] = False
+        after[1:] = white[:-1] & ~head[1:-1]  # white space of the same text stands before
+        begins |= white & ~after
+        begins |= ~white & after
+        space = np.zeros(len(data), bool)
+        space[1:] = (data[:-1] == 0x20) & ~head[1:-1]
+        begins &= ~(~white & space) | head[:-1]
+        ends_run = white.copy()
+        ends_run[:-1] &= ~white[1:] & ~head[1:-1]
+        ends_run[-1] = False
+        begins |= ends_run
+        begins[1:] |= _ALPHA[data[:-1]] & _MARK[data[1:]]
+        start = np.flatnonzero(begins)
+        return start, np.append(start[1:], len(data))
+
+    def _index(self) -> None:
+        """Where the hashes with each of the highest bits begin."""
+        self.shift = np.uint64(64 - max(8, len(self.hash).bit_length()))
+        self.first = np.searchsorted(self.hash, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def _place(self, h: np.ndarray, form: np.ndarray) -> np.ndarray:
+        n = len(self.hash)
+        if not n:
+            return np.full(len(h), -1)
+        at = self.first[(h >> self.shift).astype(np.int64)].astype(np.int64)
+        low = np.flatnonzero((at < n) & (self.hash[np.minimum(at, n - 1)] < h))
+        while len(low):
+            at[low] += 1
+            low = low[at[low] < n]
+            low = low[self.hash[at[low]] < h[low]]
+        at = np.minimum(at, n - 1)
+        return np.where((self.hash[at] == h) & (self.form[at] == form).all(1), at, -1)
+
+    def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray, form: np.ndarray) -> None:
+        raw = data.tobytes()
+        pieces = [raw[a:b].decode("utf-8") for a, b in zip(start, end)]
+        groups: dict[str, list[int]] = {"": [], "\n": [], "other": []}
+        for k, x in enumerate(pieces):
+            groups["other" if x.isspace() else "" if x[0] == " " else "\n"].append(k)
+        where, size = np.zeros((len(pieces), 2), np.int64), len(self.pool)
+        pool = [self.pool]
+        for lead in ("", "\n"):
+            for g in range(0, len(groups[lead]), 2048):
+                part = groups[lead][g : g + 2048]
+                ids = np.array(self.tok.encode_batch_fast([lead + lead.join(pieces[k] for k in part)], add_special_tokens=False)[0].ids, np.uint32)
+                first = np.flatnonzero(self.spaced[ids] if not lead else ids == self.line)
+                if len(first) != len(part):
+                    groups["other"] += part
                     continue
-                ends = np.append(begins[1:], len(ids))
-                for x, a, b in zip(part, begins + len(lead), ends):
-                    self._keep(x, ids[a:b])
-        for x in other:
-            self._keep(x, np.array(self.tok.encode(x, add_special_tokens=False).ids, np.uint32))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.place) > self.most:
-            self._reset()
-        pieces = [[] if any(s in t for s in self.special) else self.split(t) for t in texts]
-        flat = [x for p in pieces for x in p]
-        place = self.place
-        self._learn([x for x in dict.fromkeys(flat) if x not in place])
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
-        n = self.len[at]
+                where[part] = np.stack([size + first + len(lead), np.diff(np.append(first, len(ids))) - len(lead)], axis=1)
+                pool.append(ids)
+                size += len(ids)
+        for k in groups["other"]:
+            ids = np.array(self.tok.encode(pieces[k], add_special_tokens=False).ids, np.uint32)
+            where[k] = size, len(ids)
+            pool.append(ids)
+            size += len(ids)
+        self.pool = np.concatenate(pool)
+        order = np.argsort(np.concatenate([self.hash, h]), kind="stable")  # a merge of two ascending runs
+        self.hash, self.form = np.concatenate([self.hash, h])[order], np.concatenate([self.form, form])[order]
+        self.off, self.len = (np.concatenate([x, y])[order] for x, y in ((self.off, where[:, 0]), (self.len, where[:, 1])))
+        self.hits = np.concatenate([self.hits, np.zeros(len(where), np.int64)])[order]
+        self._index()
+
+    def _trim(self) -> None:
+        keep = np.sort(np.argsort(-self.hits, kind="stable")[: self.most // 2])
+        off, n = self.off[keep], self.len[keep]
+        ends = np.cumsum(n)
+        self.pool = self.pool[np.repeat(off - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        self.hash, self.form, self.off, self.len, self.hits = self.hash[keep], self.form[keep], ends - n, n, self.hits[keep] // 2
+        self._index()
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text data[at[k] : at[k + 1]] of UTF-8 bytes."""
+        if len(self.hash) > self.most:
+            self._trim()
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * (len(at) - 1)
+        raw = data[at[0] : at[-1]].tobytes()
+        cuts = at - at[0]
+        odd = {int(np.searchsorted(cuts, m.start(), "right")) - 1 for m in self.whole.finditer(raw)}
+        for d in odd:
+            out[d] = np.array(self.tok.encode(raw[cuts[d] : cuts[d + 1]].decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+        data = data[at[0] : at[-1]]
+        if not len(data):
+            return out
+        start, end = self._pieces(data, cuts)
+        size = end - start
+        wide = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(wide) - 7, "<u8", wide.tobytes(), strides=(1,))
+        short = np.minimum(size, 8)
+        h = span_hashes(data, start, end)
+        form = np.stack([eight[start + 8] & _TAIL[short], eight[end] >> ((8 - short) * 8).astype(np.uint64), size.astype(np.uint64)], axis=1)
+        place = self._place(h, form)
+        new = np.flatnonzero(place < 0)
+        if odd:
+            new = new[~np.isin(np.searchsorted(cuts, start[new], "right") - 1, list(odd))]
+        if len(new):
+            _, first = np.unique(h[new], return_index=True)
+            first = new[first]
+            before = self.hash
+            self._learn(data, start[first], end[first], h[first], form[first])
+            known = np.flatnonzero(place >= 0)
+            place[known] += np.searchsorted(h[first], before)[place[known]]  # the old ones moved behind smaller new ones
+            place[new] = self._place(h[new], form[new])
+        self.hits += np.bincount(place[place >= 0], minlength=len(self.hits))
+        n = np.where(place >= 0, self.len[place], 0)
         ends = np.cumsum(n)
-        ids = self.pool[np.repeat(self.off[at] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, pieces)])]
-        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32) if t and not p else ids[a:b] for t, p, a, b in zip(texts, pieces, cuts[:-1], cuts[1:])]
+        ids = self.pool[np.repeat(self.off[place] - ends + n, n) + np.arange(int(ends[-1]))]
+        marks = np.concatenate([[0], ends])[np.searchsorted(start, cuts)]
+        lost = {int(np.searchsorted(cuts, start[k], "right")) - 1 for k in np.flatnonzero(place < 0)} - odd  # equal hashes of different pieces
+        for d in range(len(out)):
+            if d in lost:
+                out[d] = np.array(self.tok.encode(raw[cuts[d] : cuts[d + 1]].decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+            elif d not in odd:
+                out[d] = ids[marks[d] : marks[d + 1]]
+        return out
 
 
 def _key_hash(keys: np.ndarray, null: np.ndarray | None = None) -> np.ndarray:
@@ -200,14 +294,10 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids:
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()), ("offsets", pa.binary()), ("keys", pa.binary()), ("nulls", pa.int32()), ("seeds", pa.binary()), ("prints", pa.binary()), ("records", pa.binary())]))
 
         for batch in batches:
-            encoder = encoder or Encoder(spec_sent.value)
-            at = 0
-            while at < batch.num_rows:  # texts in groups of a few hundred kB
-                texts, room = [], 1 << 18
-                while at + len(texts) < batch.num_rows and (room > 0 or not texts):
-                    texts.append(batch.column(1)[at + len(texts)].as_py() or "")
-                    room -= len(texts[-1])
-                for key, ids in zip(batch.column(0).slice(at, len(texts)).to_pylist(), encoder.encode(texts)):
+            encoder = encoder or Encoder.shared(spec_sent.value)
+            data, at = utf8(batch.column(1))
+            for i, j in blocks(at, 4 << 20):
+                for key, ids in zip(batch.column(0).slice(i, j - i).to_pylist(), encoder.encode(data, at[i : j + 1])):
                     if size >= shard_ids and key != keys[-1]:
                         yield shard()
                         seq, before = seq + 1, before + size
@@ -215,7 +305,6 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids:
                     held.append(np.append(ids, np.uint32(end_id)).astype(encoder.dtype))
                     keys.append(key)
                     size += len(ids) + 1
-                at += len(texts)
         if held:
             yield shard()
 
