@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_id, lm_score, mix_sources, quality_classifier, quality_rules, token_output
+from . import decontaminate, html_text, jaccard_join, language_id, licenses, lm_score, mix_sources, quality_classifier, quality_rules, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,10 +14,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": decontaminate.op1,
         "op2_lm_score": lm_score.op2,
         "op3_quality_rules": quality_rules.op3,
+        "op4_main_text": html_text.op4,
         "op5_jaccard_join": jaccard_join.op5,
         "op6_quality_classifier": quality_classifier.op6,
         "op7_language_id": language_id.op7,
         "op8_mix_sources": mix_sources.op8,
+        "op9_license_scan": licenses.op9,
         "op10_token_output": token_output.op10,
     }
 
@@ -28,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_classifier": quality_classifier.op6,
         "op7_language_id": language_id.op7,
         "op8_mix_sources": mix_sources.SQL,
+        "op9_license_scan": licenses.SQL,
     }
