@@ -7,7 +7,7 @@ text.  Every separator used here is ASCII, so words found on bytes are the words
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -151,5 +151,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def filter_rows(df: DataFrame, columns: tuple[str, ...], make: Callable[[], Callable[..., np.ndarray]]) -> DataFrame:
+    """The rows, with all their columns, for which make()(the named columns as Arrow arrays) is true; make is called once a task."""
+    at = [df.columns.index(c) for c in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for batch in batches:
+            yield batch.filter(pa.array(keep(*[batch.column(k) for k in at]), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, documents, utf8
+from .common import columns, documents, filter_rows, utf8
 
 #: Words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after A-Z became a-z: every other byte becomes a space.
 _NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 32 for b in range(256))
@@ -90,16 +90,45 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: int
     The items go to the executors, so their size is checked: beyond `most_bytes` of text they are dealt
     to several automata, and the documents pass through one after the other.
     """
-    items = columns(benchmark, "item_id", "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-int(total) * 8 // most_bytes))  # an item's windows repeat its words up to `width` times
+    passes = _passes(benchmark, most_bytes)
     out = columns(docs, "doc_id", "text").withColumn("spans", F.expr("cast(array() as array<struct<item:bigint,first:bigint,last:bigint>>)"))
     for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        out = scan(out, sorted((r[0], r[1]) for r in part.toLocalIterator()), width, k == passes - 1)
+        out = scan(out, _part(benchmark, k, passes), width, k == passes - 1)
     return out
 
 
+def _passes(benchmark: DataFrame, most_bytes: int) -> int:
+    total = columns(benchmark, "text").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-int(total) * 8 // most_bytes))  # an item's windows repeat its words up to `width` times
+
+
+def _part(benchmark: DataFrame, k: int, passes: int) -> list[tuple[int, str | None]]:
+    items = columns(benchmark, "item_id", "text").where("text is not null")
+    return sorted(((r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).toLocalIterator()), key=str)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: int = 32 << 20) -> DataFrame:
+    """The rows, with all their columns, in which no window of any item occurs."""
+    passes = _passes(benchmark, most_bytes)
+    for k in range(passes):
+        sent = docs.sparkSession.sparkContext.broadcast(_part(benchmark, k, passes))
+
+        def make(sent=sent):
+            automaton = _automaton(sent.value, width)
+
+            def keep(text: pa.Array) -> np.ndarray:
+                data, at = utf8(text)
+                if automaton is None:
+                    return np.ones(len(text), bool)
+                texts = (data[a:b].tobytes() for a, b in zip(at[:-1], at[1:]))
+                return np.array([next(automaton.iter(normalise(x).decode("latin-1")), None) is None for x in texts], bool)
+
+            return keep
+
+        docs = filter_rows(docs, ("text",), make)
+    return docs
+
+
 def original_spans(text: str | None, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Byte ranges of the whole UTF-8 text for ranges of words, merged."""
     raw = (text or "").encode("utf-8", "surrogatepass")

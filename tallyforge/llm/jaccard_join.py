@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, blocks, checkpoint, columns, documents, mix, utf8, windows
@@ -263,5 +263,22 @@ def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, **kwargs) -> DataFrame:
+    """The rows, with all their columns, but for those whose group has a smaller doc_id, and repeats of a doc_id.
+
+    Of a doc_id in several rows the one with the least text stays, null first.  Rows without a doc_id can't
+    be told apart or named, and stay.
+    """
+    found = jaccard_join(docs.where("doc_id is not null"), **kwargs)
+    kept = found.groupBy("doc_id").agg(F.min("component_id").alias("to")).where("to = doc_id").select("doc_id")
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    stay = docs.join(kept, "doc_id", "left_semi")
+    if not repeated.where("doc_id is not null").isEmpty():
+        order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+        ranked = stay.select(F.struct("*").alias("row"), F.row_number().over(order).alias("k"))
+        stay = ranked.where("k = 1").select("row.*")
+    return stay.unionAll(docs.where("doc_id is null"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))

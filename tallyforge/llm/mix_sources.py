@@ -44,7 +44,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_ratio: fl
     last, repeating.  A row is taken floor(target / source_size) times, and once more if it is among the
     source's first rows in the order of md5(seed:doc_id), as many as bring the running sum of sizes
     nearest to the rest, so a source misses its target by half a document at most.  Equal doc_ids are ordered by their
-    text's md5 and then share ties; sources without words have target 0 and take nothing.  An empty table
+    text's md5, and rows equal in both are taken alike; sources without words have target 0 and take nothing.  An empty table
     mixes to an empty one.  Reruns agree.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
@@ -61,13 +61,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_ratio: fl
     dealt = rows.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
     edge = (F.col("upto") > F.col("extra")) & (F.col("upto") - F.col("words") < F.col("extra"))
     # only rows of the cell in which the fraction ends need an order; others get keys of their own
-    within = Window.partitionBy("source", F.when(edge, F.lit(0)).otherwise(F.col("cell") + 1), F.when(edge, F.lit("")).otherwise(F.col("key"))).orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source", F.when(edge, F.lit(0)).otherwise(F.col("cell") + 1), F.when(edge, F.lit("")).otherwise(F.col("key"))).orderBy("key", "tie").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     dealt = dealt.withColumn("sum", F.sum("size").over(within))
     more = F.when(F.col("upto") <= F.col("extra"), 1).when(edge & (F.col("upto") - F.col("words") + F.col("sum") - F.col("size") / 2 <= F.col("extra")), 1).otherwise(0)
     reps = (F.col("whole") + more).cast("long")
     return dealt.select("doc_id", "source", "tie", "size", "source_size", "target", reps.alias("reps"), (F.col("size") * reps).alias("taken"))
 
 
+def mixed(docs: DataFrame, **kwargs) -> DataFrame:
+    """The rows, with all their columns, each as many times as the mix takes it."""
+    plan = mix(docs, **kwargs).where("reps > 0").select("doc_id", "source", "tie", "reps").distinct()
+    plan = plan.select(F.struct("doc_id", "source", "tie").alias("of"), "reps")
+    rows = docs.select(F.struct("*").alias("row"), F.struct("doc_id", "source", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("tie")).alias("of"))
+    repeated = rows.join(plan, rows["of"].eqNullSafe(plan["of"])).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "reps")).alias("k"))
+    return repeated.select("row.*")
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 

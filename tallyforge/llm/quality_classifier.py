@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, columns, crc_mod, documents
-from .statistics import FEATURES, statistics
+from .common import blocks, checkpoint, columns, crc_mod, documents, filter_rows, utf8
+from .statistics import FEATURES, of_block, statistics
 
 
 @dataclass
@@ -108,6 +108,12 @@ def fit(rows: DataFrame, features: int = 160, width: float = 4.0, ridge: float =
     return model
 
 
+def learn(stats: DataFrame, labels: DataFrame) -> Model | None:
+    """From statistics(doc_id, f) and labels(doc_id, quality): all labelled rows whose crc32(doc_id) mod 5 is not 0."""
+    marked = columns(labels, "doc_id", "quality").where("quality is not null").where(crc_mod("doc_id", 5) != 0)
+    return fit(checkpoint(stats.join(marked, "doc_id").select("f", F.col("quality").cast("double").alias("y"))))
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row.
 
@@ -117,10 +123,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, cut: float = 0.3) ->
     score is 0.5.  An empty table gives an empty result.
     """
     stats = checkpoint(statistics(docs).select("doc_id", "f"))
-    held = crc_mod("doc_id", 5) == 0
-    marked = columns(labels, "doc_id", "quality").where("quality is not null").where(~held)
-    rows = checkpoint(stats.join(marked, "doc_id").select("f", F.col("quality").cast("double").alias("y")))
-    model = fit(rows)
+    model = learn(stats, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +131,23 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, cut: float = 0.3) ->
             score = model.score(_matrix(batch.column(2), n)) if model is not None else np.full(n, 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(score), pa.array((score >= cut).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return stats.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "f").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    return stats.select("doc_id", held.alias("held_out"), "f").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
+    """The rows, with all their columns, whose score is at least `cut`; each is judged by its text."""
+    model = learn(statistics(docs).select("doc_id", "f"), labels)
+
+    def make():
+        def keep(text: pa.Array) -> np.ndarray:
+            data, at = utf8(text)
+            out = [model.score(of_block(data, at, i, j)[1]) >= cut for i, j in blocks(at, 1 << 19)] if model is not None else [np.full(len(text), 0.5 >= cut)]
+            return np.concatenate(out) if out else np.zeros(0, bool)
+
+        return keep
+
+    return filter_rows(docs, ("text",), make)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
