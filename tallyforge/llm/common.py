@@ -57,15 +57,15 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; a null is an empty text."""
+    """Bytes and offsets of a string column, without copying the bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
-    _, offsets, data = column.buffers()
     n = len(column)
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1] if n else np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    at = np.frombuffer(offsets, kind)[column.offset : column.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at
 
 

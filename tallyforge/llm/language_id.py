@@ -125,7 +125,7 @@ class ContextTree:
         return np.stack([np.add.reduceat(bits[row], at[:-1], dtype=np.float64) for bits in self.bits], axis=1)
 
 
-def train(docs: DataFrame, per_language: int = 2000, table_bytes: int = 48 << 20, most_languages: int = 2000) -> ContextTree | None:
+def train(docs: DataFrame, per_language: int = 2000, table_bytes: int = 16 << 20, most_languages: int = 2000) -> ContextTree | None:
     """From (doc_id, text, lang): of each language at most about `per_language` labelled texts, whole, those with the lowest hashes."""
     rows = docs.where("lang is not null and text is not null")
     known = rows.groupBy("lang").count()
@@ -174,7 +174,7 @@ def language_id(docs: DataFrame) -> DataFrame:
             data, at = utf8(batch.column(2))
             n = batch.num_rows
             langs, score = np.full(n, "und", object), np.zeros(n)
-            for i, j in blocks(at, 1 << 19):
+            for i, j in blocks(at, 1 << 18):
                 part, cuts = data[at[i] : at[j]], at[i : j + 1] - at[i]
                 plain = ((part | 0x20) >= 0x61) & ((part | 0x20) <= 0x7A)
                 sums = np.concatenate([[0], np.cumsum(plain)])
