@@ -56,6 +56,25 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(raw + (end - start).astype(np.uint64) * _U(0x8CB92BA72F3D8DD7))
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function for mapInArrow; when a task's batches are done, its worker, which waits for others, gives freed memory back."""
+
+    def tidy_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        yield from run(batches)
+        _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return tidy_run
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column, without copying the bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -129,8 +148,21 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     return mix(total[at]), at
 
 
+#: Texts of any length travel in Arrow batches of so many rows at most, instead of Spark's 10,000.
+BATCH_ROWS = 512
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size where it is higher; it bounds memory and changes no result."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def columns(spark_df: DataFrame, *names: str) -> DataFrame:
     """The named columns only; others, whatever their names, never reach an operator's internals."""
+    bounded_batches(spark_df.sparkSession)
     return spark_df.select(*[F.col(f"`{n}`") for n in names])
 
 
@@ -153,6 +185,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def filter_rows(df: DataFrame, columns: tuple[str, ...], make: Callable[[], Callable[..., np.ndarray]]) -> DataFrame:
     """The rows, with all their columns, for which make()(the named columns as Arrow arrays) is true; make is called once a task."""
+    bounded_batches(df.sparkSession)
     at = [df.columns.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +193,7 @@ def filter_rows(df: DataFrame, columns: tuple[str, ...], make: Callable[[], Call
         for batch in batches:
             yield batch.filter(pa.array(keep(*[batch.column(k) for k in at]), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidied(run), df.schema)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

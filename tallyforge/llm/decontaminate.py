@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, documents, filter_rows, utf8
+from .common import columns, documents, filter_rows, tidied, utf8
 
 #: Words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after A-Z became a-z: every other byte becomes a space.
 _NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 32 for b in range(256))
@@ -81,7 +81,7 @@ def scan(docs: DataFrame, items: list[tuple[int, str | None]], width: int, last:
             else:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, batch.schema.field(2).type)], schema=batch.schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, items array<long>, spans array<struct<start:long,end:long>>, contaminated boolean" if last else docs.schema)
+    return docs.mapInArrow(tidied(run), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, items array<long>, spans array<struct<start:long,end:long>>, contaminated boolean" if last else docs.schema)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: int = 32 << 20) -> DataFrame:

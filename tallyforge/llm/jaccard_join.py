@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, checkpoint, columns, documents, mix, utf8, windows
+from .common import Words, blocks, checkpoint, columns, documents, mix, tidied, utf8, windows
 from .graph import components
 
 _U = np.uint64
@@ -96,7 +96,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                     names=["doc_id", "n", "hi", "lo", "bands", "bits"],
                 )
 
-    return columns(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n long, hi long, lo long, bands array<long>, bits binary")
+    return columns(docs, "doc_id", "text").mapInArrow(tidied(run), "doc_id long, n long, hi long, lo long, bands array<long>, bits binary")
 
 
 class SignatureTree:
@@ -196,9 +196,9 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) ->
 
     named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = columns(docs, "doc_id", "text").join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    tokens = checkpoint(texts.mapInArrow(sets, "doc_id long, tokens binary"))
+    tokens = checkpoint(texts.mapInArrow(tidied(sets), "doc_id long, tokens binary"))
     left, right = (tokens.select(F.col("doc_id").alias(k), F.col("tokens").alias(f"{k}_tokens")) for k in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(compare, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(tidied(compare), "a long, b long")
 
 
 def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:

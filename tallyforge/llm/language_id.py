@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, blocks, columns, crc_mod, documents, utf8
+from .common import LOWER, blocks, columns, crc_mod, documents, tidied, utf8
 
 #: What a byte is to the model: A-Z as a-z, digits as 0, white space as a space.
 _FOLD = LOWER.copy()
@@ -146,7 +146,7 @@ def train(docs: DataFrame, per_language: int = 2000, table_bytes: int = 16 << 20
                     got, n = np.unique(code[owner == lang], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(got), pa.string()), pa.array(got.astype(np.int64)), pa.array(n)], names=["lang", "code", "n"])
 
-    counts = sample.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(tidied(run), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     got = [(r[0], r[1], r[2]) for r in counts.collect()]  # bounded by the sample
     return ContextTree.train(got, table_bytes) if got else None
 
@@ -192,7 +192,7 @@ def language_id(docs: DataFrame) -> DataFrame:
                         langs[i + d], score[i + d] = tree.langs[b], round(float(p), 9)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(langs, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text").mapInArrow(tidied(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

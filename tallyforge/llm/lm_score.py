@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, checkpoint, columns, crc_mod, documents, utf8
+from .common import Words, blocks, checkpoint, columns, crc_mod, documents, tidied, utf8
 
 _U = np.uint64
 #: Low bits of a word's key hold its class: does it have other than ASCII bytes, its last letter, a mark after it.
@@ -87,7 +87,7 @@ def token_counts(docs: DataFrame, most_held: int = 1 << 20) -> DataFrame:
             held = [_merge(held)]
             yield out()
 
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidied(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -154,7 +154,7 @@ def pair_counts(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(total[cell])], names=["cell", "n"])
 
-    got = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # size ** 2 rows at most
+    got = docs.select("text").mapInArrow(tidied(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # size ** 2 rows at most
     out = np.zeros(size * size)
     out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(size, size)
@@ -247,7 +247,7 @@ def lm_score(docs: DataFrame, n_words: int = 1000, n_sent: int = 1 << 18) -> Dat
                 )
                 row += j - i
 
-    scored = checkpoint(docs.select("doc_id", "held_out", "text").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>"))
+    scored = checkpoint(docs.select("doc_id", "held_out", "text").mapInArrow(tidied(run), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>"))
     # an end that the training texts lack (there are none) is a token of count 0 as any other
     rare = scored.select("row", F.explode("rare").alias("key")).join(counts, "key", "left")
     log_c = F.log10(F.coalesce("n", F.lit(0)) + 0.5)

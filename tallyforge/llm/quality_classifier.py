@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, checkpoint, columns, crc_mod, documents, filter_rows, utf8
+from .common import blocks, checkpoint, columns, crc_mod, documents, filter_rows, tidied, utf8
 from .statistics import FEATURES, of_block, statistics
 
 
@@ -55,7 +55,7 @@ def _summed(rows: DataFrame, function, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["k", "x"])
 
     out = np.zeros(size)
-    for k, x in rows.mapInArrow(run, "k int, x double").groupBy("k").agg(F.sum("x")).collect():  # `size` rows at most
+    for k, x in rows.mapInArrow(tidied(run), "k int, x double").groupBy("k").agg(F.sum("x")).collect():  # `size` rows at most
         out[k] = x
     return out
 
@@ -132,7 +132,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, cut: float = 0.3) ->
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(score), pa.array((score >= cut).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
-    return stats.select("doc_id", held.alias("held_out"), "f").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return stats.select("doc_id", held.alias("held_out"), "f").mapInArrow(tidied(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:

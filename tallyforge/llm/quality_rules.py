@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, columns, documents
+from .common import checkpoint, columns, documents, tidied
 from .statistics import BASE, FEATURES, statistics
 
 #: The statistics that each forest splits on.
@@ -137,7 +137,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_00
             failed = (words < 50) | (100 * repeats > 50 * words)
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(failed), pa.array(~failed & (worst <= 1)), pa.array(worst)], names=["doc_id", *BASE, "base_failed", "kept", "anomaly"])
 
-    return stats.mapInArrow(run, "doc_id long, " + ", ".join(f"{b} long" for b in BASE) + ", base_failed boolean, kept boolean, anomaly double")
+    return stats.mapInArrow(tidied(run), "doc_id long, " + ", ".join(f"{b} long" for b in BASE) + ", base_failed boolean, kept boolean, anomaly double")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Words, blocks, columns, mix, span_hashes, utf8, windows
+from .common import Words, blocks, columns, mix, span_hashes, tidied, utf8, windows
 
 _U = np.uint64
 #: Fixed: the symbols that the rules count.
@@ -99,4 +99,4 @@ def statistics(docs: DataFrame) -> DataFrame:
                 base, features = of_block(data, at, i, j)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *[pa.array(c) for c in base.T], pa.FixedSizeListArray.from_arrays(pa.array(features.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=["doc_id", *BASE, "f"])
 
-    return columns(docs, "doc_id", "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{b} long" for b in BASE) + ", f array<double>")
+    return columns(docs, "doc_id", "text").mapInArrow(tidied(run), "doc_id long, " + ", ".join(f"{b} long" for b in BASE) + ", f array<double>")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, columns, documents, ensure_checkpoints, mix, span_hashes, utf8
+from .common import blocks, columns, documents, ensure_checkpoints, mix, span_hashes, tidied, utf8
 
 _U = np.uint64
 SHARDS = "part int, seq int, before long, n_ids long, width int, payload binary, offsets binary, keys binary, nulls int, seeds binary, prints binary, records binary"
@@ -32,6 +32,42 @@ _MARK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"])
 _TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
+class _Table:
+    """Pieces by hash, ascending, with their place among the pooled ids and how often they were met."""
+
+    def __init__(self):
+        self.hash, self.form = np.zeros(0, np.uint64), np.zeros((0, 3), np.uint64)  # form: first and last bytes, length
+        self.off = self.len = self.hits = np.zeros(0, np.int64)
+        self._index()
+
+    def _index(self) -> None:
+        """Where the hashes with each of the highest bits begin."""
+        self.shift = np.uint64(64 - max(8, len(self.hash).bit_length()))
+        self.first = np.searchsorted(self.hash, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def place(self, h: np.ndarray, form: np.ndarray) -> np.ndarray:
+        n = len(self.hash)
+        if not n:
+            return np.full(len(h), -1)
+        at = self.first[(h >> self.shift).astype(np.int64)].astype(np.int64)
+        low = np.flatnonzero((at < n) & (self.hash[np.minimum(at, n - 1)] < h))
+        while len(low):
+            at[low] += 1
+            low = low[at[low] < n]
+            low = low[self.hash[at[low]] < h[low]]
+        at = np.minimum(at, n - 1)
+        return np.where((self.hash[at] == h) & (self.form[at] == form).all(1), at, -1)
+
+    def add(self, *more: np.ndarray) -> None:
+        """Merge another ascending run: hash, form, off, len, hits."""
+        order = np.argsort(np.concatenate([self.hash, more[0]]), kind="stable")
+        self.hash, self.form, self.off, self.len, self.hits = (np.concatenate([x, y])[order] for x, y in zip((self.hash, self.form, self.off, self.len, self.hits), more))
+        self._index()
+
+    def parts(self) -> tuple[np.ndarray, ...]:
+        return self.hash, self.form, self.off, self.len, self.hits
+
+
 class Encoder:
     """Ids of whole texts by a byte-level BPE file of the tokenizers library.
 
@@ -52,7 +88,7 @@ class Encoder:
             held[spec] = Encoder(spec)
         return held[spec]
 
-    def __init__(self, spec: str, most: int = 1_000_000):
+    def __init__(self, spec: str, most: int = 400_000):
         import re
 
         from tokenizers import Tokenizer
@@ -67,9 +103,7 @@ class Encoder:
         self.whole = re.compile(b"|".join([b"[\x1c-\x1f]", b"\xc2[\x85\xa0]", b"\xe1\x9a\x80", b"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]", b"\xe2\x81\x9f", b"\xe3\x80\x80", *special]))
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         self.most = most
-        self.hash, self.form = np.zeros(0, np.uint64), np.zeros((0, 3), np.uint64)  # ascending by hash; first and last bytes, length
-        self._index()
-        self.off = self.len = self.hits = np.zeros(0, np.int64)
+        self.old, self.new = _Table(), _Table()  # pieces join the small table first, so that a block's few don't move all
         self.pool = np.zeros(0, np.uint32)
 
     def _pieces(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,24 +127,6 @@ class Encoder:
         start = np.flatnonzero(begins)
         return start, np.append(start[1:], len(data))
 
-    def _index(self) -> None:
-        """Where the hashes with each of the highest bits begin."""
-        self.shift = np.uint64(64 - max(8, len(self.hash).bit_length()))
-        self.first = np.searchsorted(self.hash, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift).astype(np.int32)
-
-    def _place(self, h: np.ndarray, form: np.ndarray) -> np.ndarray:
-        n = len(self.hash)
-        if not n:
-            return np.full(len(h), -1)
-        at = self.first[(h >> self.shift).astype(np.int64)].astype(np.int64)
-        low = np.flatnonzero((at < n) & (self.hash[np.minimum(at, n - 1)] < h))
-        while len(low):
-            at[low] += 1
-            low = low[at[low] < n]
-            low = low[self.hash[at[low]] < h[low]]
-        at = np.minimum(at, n - 1)
-        return np.where((self.hash[at] == h) & (self.form[at] == form).all(1), at, -1)
-
     def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray, form: np.ndarray) -> None:
         raw = data.tobytes()
         pieces = [raw[a:b].decode("utf-8") for a, b in zip(start, end)]
@@ -136,24 +152,25 @@ class Encoder:
             pool.append(ids)
             size += len(ids)
         self.pool = np.concatenate(pool)
-        order = np.argsort(np.concatenate([self.hash, h]), kind="stable")  # a merge of two ascending runs
-        self.hash, self.form = np.concatenate([self.hash, h])[order], np.concatenate([self.form, form])[order]
-        self.off, self.len = (np.concatenate([x, y])[order] for x, y in ((self.off, where[:, 0]), (self.len, where[:, 1])))
-        self.hits = np.concatenate([self.hits, np.zeros(len(where), np.int64)])[order]
-        self._index()
-
-    def _trim(self) -> None:
-        keep = np.sort(np.argsort(-self.hits, kind="stable")[: self.most // 2])
-        off, n = self.off[keep], self.len[keep]
-        ends = np.cumsum(n)
-        self.pool = self.pool[np.repeat(off - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        self.hash, self.form, self.off, self.len, self.hits = self.hash[keep], self.form[keep], ends - n, n, self.hits[keep] // 2
-        self._index()
+        self.new.add(h, form, where[:, 0], where[:, 1], np.zeros(len(where), np.int64))
+
+    def _settle(self) -> None:
+        """Merge the small table into the large one; beyond `most`, the half met most often stays."""
+        if len(self.new.hash) > 1 << 16:
+            self.old.add(*self.new.parts())
+            self.new = _Table()
+            if len(self.old.hash) > self.most:
+                hash_, form, off, n, hits = self.old.parts()
+                keep = np.sort(np.argsort(-hits, kind="stable")[: self.most // 2])
+                off, n = off[keep], n[keep]
+                ends = np.cumsum(n)
+                self.pool = self.pool[np.repeat(off - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+                self.old = _Table()
+                self.old.add(hash_[keep], form[keep], ends - n, n, hits[keep] // 2)
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
         """The ids of each text data[at[k] : at[k + 1]] of UTF-8 bytes."""
-        if len(self.hash) > self.most:
-            self._trim()
+        self._settle()
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * (len(at) - 1)
         raw = data[at[0] : at[-1]].tobytes()
         cuts = at - at[0]
@@ -170,22 +187,24 @@ class Encoder:
         short = np.minimum(size, 8)
         h = span_hashes(data, start, end)
         form = np.stack([eight[start + 8] & _TAIL[short], eight[end] >> ((8 - short) * 8).astype(np.uint64), size.astype(np.uint64)], axis=1)
-        place = self._place(h, form)
-        new = np.flatnonzero(place < 0)
+        place = self.old.place(h, form)
+        rest = np.flatnonzero(place < 0)
+        late = self.new.place(h[rest], form[rest])
+        new = rest[late < 0]
         if odd:
             new = new[~np.isin(np.searchsorted(cuts, start[new], "right") - 1, list(odd))]
         if len(new):
             _, first = np.unique(h[new], return_index=True)
             first = new[first]
-            before = self.hash
             self._learn(data, start[first], end[first], h[first], form[first])
-            known = np.flatnonzero(place >= 0)
-            place[known] += np.searchsorted(h[first], before)[place[known]]  # the old ones moved behind smaller new ones
-            place[new] = self._place(h[new], form[new])
-        self.hits += np.bincount(place[place >= 0], minlength=len(self.hits))
-        n = np.where(place >= 0, self.len[place], 0)
+            late = self.new.place(h[rest], form[rest])
+        off, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        for table, who, at_ in ((self.old, np.flatnonzero(place >= 0), place[place >= 0]), (self.new, rest[late >= 0], late[late >= 0])):
+            off[who], n[who] = table.off[at_], table.len[at_]
+            table.hits += np.bincount(at_, minlength=len(table.hits))
+        place[rest] = late
         ends = np.cumsum(n)
-        ids = self.pool[np.repeat(self.off[place] - ends + n, n) + np.arange(int(ends[-1]))]
+        ids = self.pool[np.repeat(off - ends + n, n) + np.arange(int(ends[-1]))]
         marks = np.concatenate([[0], ends])[np.searchsorted(start, cuts)]
         lost = {int(np.searchsorted(cuts, start[k], "right")) - 1 for k in np.flatnonzero(place < 0)} - odd  # equal hashes of different pieces
         for d in range(len(out)):
@@ -274,7 +293,7 @@ class Shard:
         return np.where(self.prints[slot] == (h >> _U(32)).astype(np.uint32), self.records[slot].astype(np.int64), -1)
 
 
-def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids: int = 1 << 20, partitions: int | None = None) -> None:
+def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids: int = 1 << 19, partitions: int | None = None) -> None:
     """Write the ids of each row's text (null: empty), an end id after each, by ascending doc_id (null first, equal ids by text).
 
     A row with the same doc_id as another has its own record beside it.  An empty table writes no shard.
@@ -296,7 +315,7 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids:
         for batch in batches:
             encoder = encoder or Encoder.shared(spec_sent.value)
             data, at = utf8(batch.column(1))
-            for i, j in blocks(at, 4 << 20):
+            for i, j in blocks(at, 1 << 20):
                 for key, ids in zip(batch.column(0).slice(i, j - i).to_pylist(), encoder.encode(data, at[i : j + 1])):
                     if size >= shard_ids and key != keys[-1]:
                         yield shard()
@@ -309,7 +328,7 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids:
             yield shard()
 
     dealt = columns(docs, "doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(run, SHARDS).write.option("compression", "zstd").parquet(path)
+    dealt.mapInArrow(tidied(run), SHARDS).write.option("compression", "zstd").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -341,7 +360,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(shard.ids[x:y].astype("<u4").tobytes()) for x, y in zip(a, b)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard.keys, mask=null), pa.array(row["base"] + a, pa.int64()), pa.array(b - a, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_shards(spark, path).select("base", "width", "payload", "offsets", "keys", "nulls", "seeds", "prints", "records").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_shards(spark, path).select("base", "width", "payload", "offsets", "keys", "nulls", "seeds", "prints", "records").mapInArrow(tidied(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
@@ -355,7 +374,7 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
             low = [int(x[n]) if n < len(x) else None for x, n in zip(keys, nulls)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low, pa.int64()), pa.array([int(x[-1]) for x in keys], pa.int64())], names=["part", "seq", "low", "high"])
 
-    ranges = shards.select("part", "seq", "keys", "nulls").mapInArrow(ends, "part int, seq int, low long, high long")
+    ranges = shards.select("part", "seq", "keys", "nulls").mapInArrow(tidied(ends), "part int, seq int, low long, high long")
     routed = keys.select("doc_id").distinct().join(ranges, (F.col("doc_id") >= F.col("low")) & (F.col("doc_id") <= F.col("high")))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +388,7 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(want[ok]), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
     wanted = routed.groupBy("part", "seq").agg(F.collect_list("doc_id").alias("want"))  # a shard's keys at most
-    return shards.join(wanted, ["part", "seq"]).select("width", "payload", "offsets", "keys", "nulls", "seeds", "prints", "records", "want").mapInArrow(look, "doc_id long, ids array<long>")
+    return shards.join(wanted, ["part", "seq"]).select("width", "payload", "offsets", "keys", "nulls", "seeds", "prints", "records", "want").mapInArrow(tidied(look), "doc_id long, ids array<long>")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
