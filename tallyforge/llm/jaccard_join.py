@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -218,19 +217,38 @@ def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFram
     tasks = left.join(right, "key").where("x_node <= y_node").where(~((F.col("x_c0") == F.col("x_c1")) & (F.col("y_c0") == F.col("y_c1")) & (F.col("x_c0") == F.col("y_c0")))).where((den * F.col("x_high") >= num * F.col("y_low")) & (den * F.col("y_high") >= num * F.col("x_low")))
     tasks = tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
 
-    def traverse(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf["x_node"].iloc[0], pdf["y_node"].iloc[0]
+    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted rows of many tasks; a task's rows lie together, and only the last one's wait for the next batch."""
+        held: list[np.ndarray] | None = None
+
+        def pairs(part: list[np.ndarray]) -> pa.RecordBatch | None:
+            task, node, ids, n, label, bits = part
+            cuts = np.concatenate([[0], np.flatnonzero((task[1:] != task[:-1]).any(1)) + 1, [len(task)]])
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if j - i < 2:
+                    continue
+                trees = [SignatureTree(ids[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in (node[i:j] == x for x in dict.fromkeys(task[i, 1:])) if m.any()]
+                found += trees[0].pairs(trees[-1], num, den)
+            x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-        def tree(node: int) -> SignatureTree:
-            part = pdf[pdf["node"] == node]
-            return SignatureTree(part["id"].to_numpy(), part["n"].to_numpy(), np.stack([np.frombuffer(z, np.uint64) for z in part["bits"]]), part["label"].to_numpy())
-
-        one = tree(x)
-        found = list(one.pairs(one if x == y else tree(y), num, den))
-        a, b = (np.concatenate([f[k] for f in found] + [np.zeros(0, np.int64)]) for k in (0, 1))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return tasks.join(dealt, ["key", "node"]).groupBy("key", "x_node", "y_node").applyInPandas(traverse, "a long, b long").distinct()
+        for batch in batches:
+            numbers = [np.asarray(batch.column(k)) for k in range(7)]
+            raw = b"".join(x.as_py() for x in batch.column(7))
+            part = [np.stack(numbers[:3], axis=1), *numbers[3:], np.frombuffer(raw, np.uint64).reshape(batch.num_rows, BITS // 64)]
+            if held is not None:
+                part = [np.concatenate(x) for x in zip(held, part)]
+            last = int(np.flatnonzero((part[0] != part[0][-1]).any(1)).max(initial=-1)) + 1 if len(part[0]) else 0
+            if last:
+                yield pairs([x[:last] for x in part])
+            held = [x[last:] for x in part]
+        if held is not None and len(held[0]):
+            yield pairs(held)
+
+    rows = tasks.join(dealt, ["key", "node"]).select("key", "x_node", "y_node", "node", "id", "n", "label", "bits")
+    order = ("key", "x_node", "y_node")
+    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long").distinct()
 
 
 def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, bands: int = 24, rows: int = 3, block: int = 512) -> DataFrame:
