@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from . import fixed
 
+def let(x: Column, then) -> Column:
+    """then(x) with x evaluated once: what a ladder uses many times would otherwise stand in the generated code as often."""
+    return F.get(F.transform(F.array(x), then), F.lit(0))
+
+
 # --- patterns -----------------------------------------------------------------------------------
 
 
@@ -101,22 +106,22 @@ def _number(digits: Column, negative: Column) -> Column:
     return F.when(negative, -value).otherwise(value)
 
 
+def _signed(trimmed: Column, nothing: tuple[str, ...], drop: str, minus: str) -> Column:
+    """A trimmed amount without its brackets or sign as a number; null for the marks that mean nothing."""
+    paren = lambda t: t.rlike(r"(?s)^\(.*\)$")
+    bare = lambda t: F.trim(F.regexp_replace(F.when(paren(t), F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t), drop, ""))
+    value = lambda t: let(bare(t), lambda d: let(d.rlike(minus), lambda m: _number(F.when(m, F.substring(d, F.lit(2), F.length(d))).otherwise(d), paren(t) | m)))
+    return let(trimmed, lambda t: F.when(~t.isin(*nothing), value(t)))
+
+
 def money(x: Column) -> Column:
     """'$1,234', '(500)', '−3' as whole numbers, halves to even; null for dashes and whatever isn't a number."""
-    t = F.trim(F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
-    paren = t.rlike(r"(?s)^\(.*\)$")
-    bare = F.regexp_replace(F.when(paren, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t), r"[$, ]", "")
-    minus = bare.rlike("^[-−]")
-    return F.when(~t.isin(*_DASHES), _number(F.when(minus, F.substring(bare, F.lit(2), F.length(bare))).otherwise(bare), paren | minus))
+    return _signed(F.regexp_replace(x, r"(?U)^\s+|\s+$", ""), _DASHES, r"[$, ]", "^[-−]")
 
 
 def number(x: Column) -> Column:
     """The lenient kin of money(): inner spaces are kept, so '1 2' is no number."""
-    t = F.trim(x)
-    paren = t.rlike(r"^\(.*\)$")
-    bare = F.trim(F.regexp_replace(F.when(paren, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t), r"[$,]", ""))
-    minus = F.startswith(bare, F.lit("-"))
-    return F.when(~t.isin("", "-", "—", "–"), _number(F.when(minus, F.substring(bare, F.lit(2), F.length(bare))).otherwise(bare), paren | minus))
+    return _signed(F.trim(x), ("", "-", "—", "–"), r"[$,]", "^-")
 
 
 def money_near(row: Column, col: Column) -> Column:

@@ -14,8 +14,7 @@ def _quoted(label: Column) -> Column:
 
 def _clean_definition(found: Column) -> Column:
     """Null for nothing, a table's head, or accounting only."""
-    good = F.when((found != "") & ~T.is_table_header(found), T.without_accounting(F.trim(found)))
-    return F.nullif(good, F.lit(""))
+    return T.let(found, lambda x: T.let(F.when((x != "") & ~T.is_table_header(x), T.without_accounting(F.trim(x))), lambda y: F.nullif(y, F.lit(""))))
 
 
 def _extract(text: Column, pattern: Column) -> Column:
@@ -58,7 +57,7 @@ def footnote_for(label: Column, document: Column, around_table: Column) -> Colum
     note8 = F.regexp_instr(document, F.lit(r"(?i)\bitem\s*8\b"))
     rest = F.when(note8 > 0, F.substring(document, note8, F.lit(200_000)))
     in_notes = F.regexp_extract(rest, r"(?s)(_____+\s*\(\d+\).{0,10000})", 1)
-    take = lambda x: F.when(F.length(T.clean(_extract(x, pattern))) >= 20, F.left(T.clean(_extract(x, pattern)), F.lit(600)))
+    take = lambda x: T.let(T.clean(_extract(x, pattern)), lambda y: F.when(F.length(y) >= 20, F.left(y, F.lit(600))))
     return F.when(n.isNotNull(), F.coalesce(take(below), take(near), footnotes(around_table)[n], take(in_notes)))
 
 
@@ -67,7 +66,7 @@ def note_definition(label: Column, document: Column) -> Column:
     low, name = F.trim(F.lower(label)), _quoted(label)
     where = F.coalesce(T.note2(document), document)
     lit = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    clean = lambda text, pattern, lead="": _clean_definition(F.when(_extract(text, pattern) != "", F.concat(F.lit(lead), _extract(text, pattern))).otherwise(F.lit("")))
+    clean = lambda text, pattern, lead="": _clean_definition(T.let(_extract(text, pattern), lambda x: F.when(x != "", F.concat(F.lit(lead), x)).otherwise(F.lit(""))))
     ads = F.coalesce(
         clean(document, F.lit(r"(?is)(?:substantially all|majority)\s+of\s+(?:our\s+)?revenue\s+from\s+(?:selling\s+)?advertising\s+([^.]{30,400}\.(?:\s+[A-Z][^.]{20,200}\.)?)"), "Revenue from selling advertising "),
         clean(document, F.lit(r"(?is)revenue\s+from\s+marketers\s+advertising\s+on\s+([^.]{20,300}\.)"), "Revenue from marketers advertising on "),
@@ -99,9 +98,8 @@ def enumeration_definition(line: Column, group: Column, document: Column) -> Col
 
 def heading_definition(text: Column) -> Column:
     """What stands under a heading, without accounting: 50 characters at least, six sentences and 1500 characters at most."""
-    kept = T.without_accounting(T.clean(text))
-    short = F.left(F.array_join(F.slice(T.sentences(kept), 1, 6), " "), F.lit(1500))
-    return F.when((F.length(kept) >= 50) & ~T.is_table_header(kept), short)
+    short = lambda x: F.left(F.array_join(F.slice(T.sentences(x), 1, 6), " "), F.lit(1500))
+    return T.let(T.without_accounting(T.clean(text)), lambda x: F.when((F.length(x) >= 50) & ~T.is_table_header(x), short(x)))
 
 
 def offerings(label: Column, document: Column) -> Column:
