@@ -215,3 +215,12 @@ def total_estimate(grid: DataFrame, *keys: str, units: int = 1_000_000) -> DataF
 
     years = C.year_cols(cells(grid, *keys), *keys, rows=10)
     return first_match(grid, "|".join(f"(?:{p})" for p in fixed.ESTIMATE_ROW), years, *keys).select(*keys, (F.col("value") * units).alias("estimate"))
+
+
+def label_values(grid: DataFrame, years: DataFrame, *keys: str) -> DataFrame:
+    """(keys, values): a map of each labelled row's value in the newest year; the first of equal labels."""
+    k = list(keys)
+    label = F.trim(F.coalesce(F.get("cells", F.lit(0)), F.lit("")))
+    rows = grid.join(newest_year(years, *k), k).withColumn("label", label).withColumn("value", T.money_near(F.col("cells"), F.col("val_col"))).where("label <> '' AND value IS NOT NULL")
+    once = rows.groupBy(*k, "label").agg(F.min_by("value", "row_idx").alias("value"))
+    return once.groupBy(*k).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "value")))).alias("values"))

@@ -219,6 +219,12 @@ def candidates(pages: DataFrame, *keys: str, preview_rows: int = 15, preview_col
     return out.withColumn("has_units_marker", F.col("units_hint") != "").withColumn("has_year_header", F.size(T.years(F.col("year_header_text"))) >= 2).withColumn("n_keyword_hits", F.size("keyword_hits")).withColumn("n_years", F.size("detected_years")).withColumn("table_id", F.format_string("t%04d", "table_idx"))
 
 
+def summaries(tables: DataFrame, *keys: str) -> DataFrame:
+    """Candidates cut to what a prompt shows: 12 labels, 200 characters of caption and heading, 280 of the text before."""
+    short = lambda c, n: F.left(F.coalesce(F.col(c), F.lit("")), F.lit(n)).alias(c)
+    return tables.select(*keys, "table_id", "n_rows", "n_cols", F.slice("row_label_preview", 1, 12).alias("row_label_preview"), "detected_years", "keyword_hits", "units_hint", short("caption_text", 200), short("heading_context", 200), short("nearby_text_context", 280))
+
+
 def context(pages: DataFrame, *keys: str, near: int = 800) -> DataFrame:
     """(keys, table_idx, caption_text, heading_context, nearby_text_context): what precedes each table in the document."""
     all_nodes = nodes(pages, *keys)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -231,3 +231,27 @@ def coverage(lines: DataFrame, *keys: str) -> DataFrame:
 
 def grand_total(per_key: DataFrame) -> DataFrame:
     return per_key.agg(F.sum("n_lines").alias("n_lines"), F.sum("n_covered").alias("n_covered"), F.bround(100 * F.sum("n_covered") / F.sum("n_lines"), 1).alias("coverage_pct"))
+
+
+def pass_rate(results: DataFrame, *keys: str) -> DataFrame:
+    """(keys, n, n_passed, pass_rate) from (keys, ok)."""
+    ok = F.coalesce(F.col("ok"), F.lit(False)).cast("int")
+    return results.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(ok).alias("n_passed"), F.avg(ok).alias("pass_rate"))
+
+
+def iterate(extract: Callable[[DataFrame | None], DataFrame], most: int = 3, tolerance: float = 0.05) -> DataFrame:
+    """Reconcile again, at most `most` times, while a pass still finds filings whose gap it can narrow.
+
+    extract(gaps) gives (filing_id, income_total, net_total); it gets the filings that failed, null at first.
+    """
+    done = reconcile(extract(None), tolerance)
+    for _ in range(most - 1):
+        open_ = done.where("status <> 'PASS'").select("filing_id", "gap_amount")
+        if open_.isEmpty():
+            break
+        again = reconcile(extract(open_), tolerance)
+        better = again.join(done.select("filing_id", F.abs("gap_percent").alias("_was")), "filing_id").where(F.abs("gap_percent") < F.col("_was")).drop("_was")
+        if better.isEmpty():
+            break
+        done = done.join(better.select("filing_id"), "filing_id", "left_anti").unionByName(better)
+    return done

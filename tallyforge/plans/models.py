@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import re
+import time
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +18,7 @@ from ..operators import extract as X
 from ..operators import html as H
 from ..operators import joins as J
 from ..operators import windows as W
+from ..sources.filings import Limiter
 
 
 class ModelClient(Protocol):
@@ -37,6 +42,55 @@ class ReplayClient:
         return prompts.withColumn("prompt_sha", prompt_key(F.col("prompt"))).join(known, "prompt_sha", "left").withColumn("reply", T.json_body(F.col("reply")))
 
 
+class HttpClient:
+    """A chat service that answers in JSON: a request at most every 60 / rpm seconds, three tries, waits as a 429 asks, one repair call.
+
+    post(url, body, headers) gives (status, text).  One partition, so that the service's limit holds for all.
+    """
+
+    def __init__(self, url: str, model: str, key: str, post: Callable[[str, bytes, dict], tuple[int, str]], rpm: int = 60, tries: int = 3):
+        self.url, self.model, self.key, self.post, self.rpm, self.tries = url, model, key, post, rpm, tries
+
+    def ask(self, prompt: str, sleep: Callable[[float], None]) -> str | None:
+        body = {"model": self.model, "response_format": {"type": "json_object"}, "messages": [{"role": "user", "content": prompt}]}
+        headers = {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"}
+        for attempt in range(self.tries):
+            status, text = self.post(self.url, json.dumps(body).encode(), headers)
+            if status == 200:
+                return json.loads(text)["choices"][0]["message"]["content"]
+            hint = re.search(r"try again in\s+(\d+(?:\.\d+)?)\s*s", text, re.I) if status == 429 else None
+            if status != 429 and status < 500:
+                break
+            sleep(float(hint[1]) if hint else 2.0**attempt)
+        return None
+
+    def answer(self, prompts: DataFrame, stage: str) -> DataFrame:
+        own, out = self, prompts.schema.add("reply", "string")
+
+        def body_of(text: str | None) -> str | None:
+            a, b = (text or "").find("{"), (text or "").rfind("}")
+            try:
+                return json.dumps(json.loads(text[a : b + 1])) if text and 0 <= a < b else None
+            except ValueError:
+                return None
+
+        def run(frames: Iterator) -> Iterator:
+            limiter = Limiter(60 / own.rpm)
+            for pdf in frames:
+                replies = []
+                for prompt in pdf["prompt"]:
+                    limiter.wait()
+                    text = own.ask(prompt, time.sleep)
+                    good = body_of(text)
+                    if text and good is None:
+                        limiter.wait()
+                        good = body_of(own.ask("Give this as valid JSON only:\n" + text, time.sleep))
+                    replies.append(good)
+                yield pdf.assign(reply=replies)
+
+        return prompts.coalesce(1).mapInPandas(run, out)
+
+
 def embed(texts: DataFrame, dims: int = 64) -> DataFrame:
     """texts(…, text) with a deterministic vector `v` of hashed words, for use without an embedding service."""
     words = F.filter(F.split(F.lower("text"), r"\W+"), lambda w: w != "")

@@ -30,7 +30,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def keep(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = f
+        def with_long_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = f(spark, sf_dir)
+            return df.withColumns({c: F.col(c).cast("bigint") for c in ("rank", "pick", "place", "attempt", "clean_len") if c in df.columns})
+
+        QUERIES[name] = with_long_ranks
         if sql:
             ORACLES[name] = sql
         return f

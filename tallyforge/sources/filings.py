@@ -254,3 +254,9 @@ def read_coverage(spark: SparkSession, path: str) -> DataFrame:
 
 def write_coverage(coverage: DataFrame, path: str) -> None:
     coverage.write.mode("overwrite").json(path)
+
+
+def companies(spark: SparkSession, path: str) -> DataFrame:
+    """(name, ticker, industry) of a company list with a header; tickers in upper case, each once."""
+    rows = spark.read.option("header", True).schema("name string, ticker string, industry string").csv(path)
+    return rows.select(F.trim("name").alias("name"), F.upper(F.trim("ticker")).alias("ticker"), F.trim("industry").alias("industry")).where("ticker <> ''").dropDuplicates(["ticker"])
