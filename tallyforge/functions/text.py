@@ -223,7 +223,7 @@ def section(text: Column, pattern: str, most: int = 50_000) -> Column:
     start = F.regexp_instr(text, F.lit(pattern))
     tail = F.substring(text, start + 501, F.length(text))
     stop = F.regexp_instr(tail, F.lit(r"(?i)\bitem\s+\d+"))
-    length = F.when(stop > 0, F.least(stop + 500 - 1 + 0, F.lit(most))).otherwise(F.lit(most))
+    length = F.when(stop > 0, F.least(stop + 500, F.lit(most))).otherwise(F.lit(most))
     return F.when(start > 0, F.substring(text, start, length)).otherwise(F.lit(""))
 
 
