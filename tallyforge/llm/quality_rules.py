@@ -81,39 +81,66 @@ class Forest:
         return np.exp2(-total / len(self.column) / self.norm)
 
 
-def threshold(score: np.ndarray, bad: np.ndarray, cost: float) -> float:
-    """The score above which to reject: the greatest share of bad rows less `cost` times the share of good ones; inf where none gains."""
-    if not bad.any() or bad.all():
+#: Scores lie in (0, 1]; thresholds are multiples of 1 / BINS.
+BINS = 8192
+
+
+def threshold(bad: np.ndarray, good: np.ndarray, cost: float) -> float:
+    """The score from which to reject, given rows by score bin: the greatest share of bad rows less `cost` times the share of good ones; inf where none gains."""
+    if not bad.sum() or not good.sum():
+        return float("inf")
+    gain = np.cumsum(bad[::-1])[::-1] / bad.sum() - cost * np.cumsum(good[::-1])[::-1] / good.sum()
+    full = np.flatnonzero(bad + good)
+    k = int(full[np.argmax(gain[full])])
+    if gain[k] <= 0:
         return float("inf")
-    order = np.argsort(-score, kind="stable")
-    s, b = score[order], bad[order]
-    gain = np.cumsum(b) / bad.sum() - cost * np.cumsum(~b) / (~bad).sum()
-    gain[:-1][s[:-1] == s[1:]] = -np.inf  # equal scores go together
-    k = int(np.argmax(gain))
-    return float(s[k] + (s[k + 1] if k + 1 < len(s) else s[k])) / 2 if gain[k] > 0 else float("inf")
+    below = full[full < k]
+    return (k + (below[-1] + 1 if len(below) else k)) / 2 / BINS  # midway in the gap below
 
 
-def fit(sample: np.ndarray, bad: np.ndarray, trees: int, size: int, cost: float, seed: int) -> list[tuple[list[int], Forest, float]]:
-    """Forests and thresholds; a bad row that a view rejects doesn't count for the views after it."""
+def grow(sample: np.ndarray, trees: int, size: int, seed: int) -> list[tuple[list[int], Forest]]:
+    """A forest for each view."""
     rng = np.random.default_rng(seed)
-    out, left = [], np.ones(len(sample), bool)
+    out = []
     for view in VIEWS:
         where = [FEATURES.index(v) for v in view]
-        x = sample[:, where]
-        forest = Forest.grow(x, trees, size, rng)
-        score = forest.score(x)
-        limit = threshold(score[left], bad[left], cost)
-        out.append((where, forest, limit))
-        left &= ~bad | (score <= limit)
+        out.append((where, Forest.grow(sample[:, where], trees, size, rng)))
     return out
 
 
+def _features(column: pa.Array, n: int) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(n, len(FEATURES)) if n else np.zeros((0, len(FEATURES)))
+
+
+def calibrate(judged: DataFrame, forests: list[tuple[list[int], Forest]], cost: float) -> list[float]:
+    """A threshold for each view from all labelled rows(f, quality), whatever their number; a bad row that a view rejects doesn't count for those after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _features(batch.column(0), batch.num_rows)
+            s = np.stack([forest.score(x[:, where]) for where, forest in forests], axis=1) if len(x) else np.zeros((0, len(forests)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch.column(1)) == 0), pa.FixedSizeListArray.from_arrays(pa.array(s.ravel()), len(forests)).cast(pa.list_(pa.float64()))], names=["bad", "s"])
+
+    left = checkpoint(judged.select("f", "quality").mapInArrow(tidied(run), "bad boolean, s array<double>"))
+    limits: list[float] = []
+    for k in range(len(forests)):
+        score = F.col("s")[k]
+        counts = np.zeros((2, BINS + 1))
+        for at, bad, n in left.groupBy(F.floor(score * BINS).cast("int").alias("bin"), "bad").count().collect():  # 2 BINS rows at most
+            counts[int(not bad), at] = n
+        limits.append(threshold(counts[0], counts[1], cost))
+        if np.isfinite(limits[-1]):
+            left = left.where(~(F.col("bad") & (score >= limits[-1])))
+    return limits
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, trees: int = 40, size: int = 256, cost: float = 100.0, seed: int = 7) -> DataFrame:
     """(doc_id, the base statistics, base_failed, kept, anomaly) of each row.
 
-    The forests grow on, and the thresholds come from, about `most_labelled` labelled rows at most, those with
-    the lowest hashes of their doc_id among those that pass the base rules; rows whose quality is null are unlabelled.  `anomaly` is the greatest ratio
-    of a score to its threshold, and a row is kept if the base rules pass and it is at most 1.  Without
+    The forests grow on about `most_labelled` labelled rows at most, those with the lowest hashes of their
+    doc_id among those that pass the base rules; thresholds come from all of these.  Rows whose quality is null
+    are unlabelled; of several labels of a doc_id the least counts.  `anomaly` is the greatest ratio of a score
+    to its threshold, and a row is kept if the base rules pass and no score reaches its threshold.  Without
     labelled rows of both kinds no threshold is set and the base rules alone decide.  A text without
     words fails the base rules.  Each row is judged by itself, so repeated rows agree.
     """
@@ -122,20 +149,23 @@ def quality_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_00
     judged = checkpoint(stats.where("NOT " + BASE_FAILED).join(marked, "doc_id").select("doc_id", "n_words", "f", "quality"))
     share = most_labelled / max(judged.count(), 1)
     unit = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / F.lit(float(1 << 53))
-    sample = sorted((r[0], r[1], r[2], r[3]) for r in judged.where(unit < share).collect())
-    model = fit(np.array([r[2] for r in sample]), np.array([r[3] == 0 for r in sample]), trees, size, cost, seed) if sample else []
+    sample = sorted((r[0], r[1], r[2]) for r in judged.where(unit < share).select("doc_id", "n_words", "f").collect())
+    model: list[tuple[list[int], Forest, float]] = []
+    if sample:
+        forests = grow(np.array([r[2] for r in sample]), trees, size, seed)
+        model = [(where, forest, limit) for (where, forest), limit in zip(forests, calibrate(judged, forests, cost)) if np.isfinite(limit)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            x = np.asarray(batch.column(6).flatten()).reshape(n, len(FEATURES)) if n else np.zeros((0, len(FEATURES)))
-            worst = np.zeros(n)
-            for where, forest, limit in model:
-                if np.isfinite(limit) and n:
-                    worst = np.maximum(worst, forest.score(x[:, where]) / limit)
+            x = _features(batch.column(6), n)
+            worst, over = np.zeros(n), np.zeros(n, bool)
+            for where, forest, limit in model if n else ():
+                score = forest.score(x[:, where])
+                worst, over = np.maximum(worst, score / limit), over | (score >= limit)
             words, repeats = (np.asarray(batch.column(k)) for k in (1, 5))
             failed = (words < 50) | (100 * repeats > 50 * words)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(failed), pa.array(~failed & (worst <= 1)), pa.array(worst)], names=["doc_id", *BASE, "base_failed", "kept", "anomaly"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(failed), pa.array(~failed & ~over), pa.array(worst)], names=["doc_id", *BASE, "base_failed", "kept", "anomaly"])
 
     return stats.mapInArrow(tidied(run), "doc_id long, " + ", ".join(f"{b} long" for b in BASE) + ", base_failed boolean, kept boolean, anomaly double")
 

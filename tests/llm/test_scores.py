@@ -48,8 +48,12 @@ def test_isolation_forest_finds_what_stands_apart():
     forest = quality_rules.Forest.grow(x, 50, 256, rng)
     score = forest.score(x)
     assert score.argmax() == 500 and 0 < score.min() and score.max() < 1
-    assert quality_rules.threshold(score, np.arange(501) == 500, 30.0) < score[500]
-    assert quality_rules.threshold(score, np.zeros(501, bool), 30.0) == float("inf")
+    bins = (score * quality_rules.BINS).astype(int)
+    bad, good = np.zeros(quality_rules.BINS + 1), np.bincount(bins[:500], minlength=quality_rules.BINS + 1)
+    assert quality_rules.threshold(bad, good, 30.0) == float("inf")
+    bad[bins[500]] = 1
+    limit = quality_rules.threshold(bad, good, 30.0)
+    assert np.sort(score)[-2] < limit <= score[500]
 
 
 def test_classifier_held_out(spark):
