@@ -103,7 +103,7 @@ def _passes(benchmark: DataFrame, most_bytes: int) -> int:
 
 
 def _part(benchmark: DataFrame, k: int, passes: int) -> list[tuple[int, str | None]]:
-    items = columns(benchmark, "item_id", "text").where("text is not null")
+    items = columns(benchmark, "item_id", "text").where("item_id is not null and text is not null")
     return sorted(((r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).toLocalIterator()), key=str)
 
 
@@ -151,7 +151,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
 
     A window is `width` words of an item; an item of fewer is one window.  `spans` are the byte ranges
     of the hit words in the whole original text.  Null, empty and wordless texts have no words and are
-    clean, as all documents are where the benchmark is empty; null items are left out.  Rows stand for
+    clean, as all documents are where the benchmark is empty; items without an id or text are left out.  Rows stand for
     themselves, whether or not another has the same doc_id.  No other columns are read.
     """
     return hits(docs, benchmark, width)

@@ -257,6 +257,7 @@ def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     Two texts link when den * |both| >= num * |either| over their distinct shingles of `width` words;
     a text of fewer words is one shingle.  Null and wordless texts have no shingles and link with
     nothing.  A doc_id in several rows stands for its first text in each step; each row is returned.
+    A row without a doc_id joins the component of an equal set that has one, else its component is null.
     An empty table gives an empty result; columns besides doc_id and text are not read.
     """
     sigs = checkpoint(signatures(docs, width, bands, rows))

@@ -61,7 +61,7 @@ def texts():
 
 @pytest.mark.parametrize("most_bytes", [32 << 20, 200])
 def test_contamination(spark, most_bytes):
-    benchmark = spark.createDataFrame(items(), "item_id long, text string")
+    benchmark = spark.createDataFrame([*items(), (None, "word")], "item_id long, text string")
     docs = documents(spark, list(enumerate(texts())))
     got = {r["doc_id"]: r for r in decontaminate.hits(docs, benchmark, 10, most_bytes).collect()}
     for i, t in enumerate(texts()):
@@ -86,3 +86,9 @@ def test_empty_tables(spark):
     assert decontaminate.decontaminate(documents(spark, []), benchmark).count() == 0
     none = decontaminate.decontaminate(documents(spark, [(1, "short item")]), benchmark.limit(0)).first()
     assert not none["contaminated"] and none["n_words"] == 2
+
+
+def test_rows_without_an_id(spark):
+    rows = [(None, "a b c d e f"), (3, "a b c d e f"), (None, "x y z w v"), (None, None)]
+    got = sorted(map(str, jaccard_join.jaccard_join(documents(spark, rows)).selectExpr("n_shingles", "component_id").collect()))
+    assert got == sorted(["Row(n_shingles=3, component_id=3)"] * 2 + ["Row(n_shingles=2, component_id=None)", "Row(n_shingles=0, component_id=None)"])
