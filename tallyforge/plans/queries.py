@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as T
+from ..functions.stages import cut
 from ..operators import chunks as Ch
 from ..operators import classify as C
 from ..operators import describe as D
@@ -853,7 +854,7 @@ def grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = lines.select("filing_id", "table_idx", F.col("rank").alias("row_idx"), F.array(F.concat(F.lit("Product "), "l_returnflag", "l_linestatus"), F.lit("$"), money, F.lit("9 %")).alias("cells"))
     head = lines.select("filing_id", "table_idx").distinct().select("filing_id", "table_idx", F.lit(0).alias("row_idx"), F.array(F.lit(""), F.lit("2024"), F.lit(""), F.lit("change")).alias("cells"))
     total = lines.groupBy("filing_id", "table_idx").agg((F.max("rank") + 1).alias("row_idx"), F.format_number(F.sum("v"), 0).alias("t")).select("filing_id", "table_idx", "row_idx", F.array(F.lit("Total revenue"), F.lit("$"), F.col("t"), F.lit("")).alias("cells"))
-    return body.unionByName(head).unionByName(total)
+    return cut(body.unionByName(head).unionByName(total))
 
 
 @query(
