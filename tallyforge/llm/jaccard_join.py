@@ -202,9 +202,10 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) ->
 
 def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
     """Pairs of different components in a bucket, from members (key, id, n, bits, label)."""
-    sizes = members.groupBy("key", "label").agg(F.count("*").alias("m"))
+    # tables of their own, so that a hot bucket's side of each join can be split
+    sizes = checkpoint(members.groupBy("key", "label").agg(F.count("*").alias("m")))
     mixed = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.sum(F.when(F.col("m") <= block, F.col("m")).otherwise(0)).alias("small"))
-    mixed = mixed.where("labels > 1").drop("labels")
+    mixed = checkpoint(mixed.where("labels > 1").drop("labels"))
     sizes = sizes.where(F.col("m") > block)
     dealt = members.join(mixed, "key").join(sizes, ["key", "label"], "left").withColumn(
         "node",  # a large component's members have blocks of their own, the other components share some
@@ -270,8 +271,8 @@ def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     links = checkpoint(linked(checkpoint(pairs), docs, width, num, den))
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links))
-    first = entries.select("key", "id").join(labels.withColumnRenamed("v", "id"), "id")
-    open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
+    first = checkpoint(entries.select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"))
+    open_keys = checkpoint(first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key"))
     members = first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id")
     cross = checkpoint(_cross_pairs(checkpoint(members), block, num, den))
     if not cross.isEmpty():
