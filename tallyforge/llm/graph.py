@@ -11,23 +11,23 @@ from .common import checkpoint
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """`nodes(v)` and `edges(a, b)` to `(v, label)`, the smallest node that each node reaches.
 
-    A round takes the least label among a node and its neighbours, then the label of that label, so
-    the number of rounds grows with the logarithm of a group's diameter.  The rows that a hot node
-    receives are reduced on the map side; its join partition is split by adaptive execution.  Each
-    round is checkpointed, as lost executors would otherwise replay all of them.
+    A round takes the least label among a node and its neighbours.  Groups of near copies are nearly stars and
+    settle in two or three rounds; from the third on, all nodes of a label take the least label next to any of
+    them, which at least halves the number of unsettled groups.  The rows that a hot node or label receives are
+    reduced on the map side, and its join partition is split by adaptive execution.  Each round is checkpointed,
+    as lost executors would otherwise replay all of them.
     """
     both = checkpoint(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    touched = both.select(F.col("a").alias("v")).distinct()
-    state = checkpoint(touched.select("v", F.col("v").alias("label")))
-    for _ in range(max_rounds):
-        near = both.join(state.select(F.col("v").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("low"))
-        lower = state.join(near.withColumnRenamed("a", "v"), "v", "left").select("v", "label", F.least("label", "low").alias("to"))
-        lower = checkpoint(lower)
-        ahead = lower.select(F.col("v").alias("to"), F.col("to").alias("far"))
-        new = checkpoint(lower.join(ahead, "to", "left").select("v", "label", F.least("to", "far").alias("new")))
-        state = new.select("v", F.col("new").alias("label"))
-        if new.where("new <> label").isEmpty():
+    state = checkpoint(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("low")).select("v", F.least("v", "low").alias("label")))
+    for k in range(max_rounds):
+        near = both.join(state.select(F.col("v").alias("b"), "label"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("low"))
+        seen = checkpoint(state.join(near, "v").select("v", "label", F.least("label", "low").alias("low")))
+        if seen.where("low < label").isEmpty():
             break
+        state = seen.select("v", F.col("low").alias("label"))
+        if k > 0:
+            least = checkpoint(seen.groupBy("label").agg(F.min("low").alias("to")))
+            state = checkpoint(seen.join(least, "label").select("v", F.col("to").alias("label")))
     else:
         raise RuntimeError("components did not settle")
     return nodes.join(state, "v", "left").select("v", F.coalesce("label", "v").alias("label"))

@@ -92,3 +92,26 @@ def test_rows_without_an_id(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (None, "x y z w v"), (None, None)]
     got = sorted(map(str, jaccard_join.jaccard_join(documents(spark, rows)).selectExpr("n_shingles", "component_id").collect()))
     assert got == sorted(["Row(n_shingles=3, component_id=3)"] * 2 + ["Row(n_shingles=2, component_id=None)", "Row(n_shingles=0, component_id=None)"])
+
+
+def test_components_of_chains_and_stars(spark):
+    from tallyforge.llm.graph import components
+
+    rng = random.Random(4)
+    names = list(range(120))
+    rng.shuffle(names)
+    edges = [(names[k], names[k + 1]) for k in range(59)] + [(names[60], names[k]) for k in range(61, 110)] + [(7, 7)]
+    up = {v: v for v in range(120)}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        up[max(x, y)] = min(x, y)
+    got = components(spark.createDataFrame([(v,) for v in range(120)], "v long"), spark.createDataFrame(edges, "a long, b long"))
+    assert {r["v"]: r["label"] for r in got.collect()} == {v: find(v) for v in range(120)}
+    none = components(spark.createDataFrame([(1,)], "v long"), spark.createDataFrame([], "a long, b long"))
+    assert [tuple(r) for r in none.collect()] == [(1, 1)]
