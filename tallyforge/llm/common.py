@@ -178,8 +178,11 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """Written to the shared folder and read from there.  Tables of a few numbers a row make an eighth of the usual number of files."""
     ensure_checkpoints(df.sparkSession)
+    if narrow:
+        df = df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
     return df.checkpoint(eager=True)
 
 

@@ -203,9 +203,9 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) ->
 def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
     """Pairs of different components in a bucket, from members (key, id, n, bits, label)."""
     # tables of their own, so that a hot bucket's side of each join can be split
-    sizes = checkpoint(members.groupBy("key", "label").agg(F.count("*").alias("m")))
+    sizes = checkpoint(members.groupBy("key", "label").agg(F.count("*").alias("m")), narrow=True)
     mixed = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.sum(F.when(F.col("m") <= block, F.col("m")).otherwise(0)).alias("small"))
-    mixed = checkpoint(mixed.where("labels > 1").drop("labels"))
+    mixed = checkpoint(mixed.where("labels > 1").drop("labels"), narrow=True)
     sizes = sizes.where(F.col("m") > block)
     dealt = members.join(mixed, "key").join(sizes, ["key", "label"], "left").withColumn(
         "node",  # a large component's members have blocks of their own, the other components share some
@@ -268,16 +268,16 @@ def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     shared = entries.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("id", "n")).alias("p")).where("m > 1").select("key", "p")
     entries = checkpoint(entries.join(shared, "key"))
     pairs = entries.where("id <> p.id").where((den * F.least("n", "p.n") >= num * F.greatest("n", "p.n"))).select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
-    links = checkpoint(linked(checkpoint(pairs), docs, width, num, den))
+    links = checkpoint(linked(checkpoint(pairs, narrow=True), docs, width, num, den))
     ids = groups.select(F.col("id").alias("v"))
-    labels = checkpoint(components(ids, links))
-    first = checkpoint(entries.select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"))
-    open_keys = checkpoint(first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key"))
+    labels = checkpoint(components(ids, links), narrow=True)
+    first = checkpoint(entries.select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
+    open_keys = checkpoint(first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key"), narrow=True)
     members = first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id")
     cross = checkpoint(_cross_pairs(checkpoint(members), block, num, den))
     if not cross.isEmpty():
         links = links.union(linked(cross, docs, width, num, den))
-        labels = checkpoint(components(ids, checkpoint(links)))
+        labels = checkpoint(components(ids, checkpoint(links)), narrow=True)
     of_set = groups.select("hi", "lo", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "label")
     out = sigs.select("doc_id", "n", "hi", "lo").join(of_set, ["hi", "lo"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))
