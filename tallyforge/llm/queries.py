@@ -27,8 +27,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.SQL,
-        "op6_quality_classifier": quality_classifier.op6,
-        "op7_language_id": language_id.op7,
         "op8_mix_sources": mix_sources.SQL,
         "op9_license_scan": licenses.SQL,
     }

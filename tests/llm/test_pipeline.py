@@ -87,7 +87,24 @@ def test_registry(spark):
 
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
-    assert set(entry.oracle_sql()) <= set(names)
+    assert set(entry.oracle_sql()) <= set(names) and all(isinstance(x, str) for x in entry.oracle_sql().values())
+
+
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op8_mix_sources", "op9_license_scan"])
+def test_same_as_duckdb(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df, other = entry.queries()[name](spark, SF), con.sql(entry.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(other.columns)
+    plain = lambda v: f"{v:.6f}" if isinstance(v, float) else str(v)
+    order = lambda columns: sorted(range(len(columns)), key=lambda k: columns[k])
+    listed = lambda columns, found: sorted(tuple(plain(r[k]) for k in order(columns)) for r in found)
+    assert listed(df.columns, df.collect()) == listed(other.columns, other.fetchall())
 
 
 def test_the_rest_stands_without_the_operators(tmp_path):
