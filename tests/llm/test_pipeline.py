@@ -48,6 +48,14 @@ def test_near_duplicate_stage(stages):
     assert {r["doc_id"] for r in after.collect()} == {i for i, (_, c) in groups.items() if i == c}
 
 
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    words = [f"w{k}" for k in range(49)]
+    near = [*words[:24], "other", *words[25:]]  # 40 of 50 shingles of five words, 42 of 50 of four
+    far = [*words[:20], "x1", *words[21:30], "x2", *words[31:]]
+    docs = spark.createDataFrame([(k, " ".join(w), "en", "s", 1) for k, w in enumerate((words, near, far))], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in STAGES["near_duplicates"](spark, docs, SF).collect()} == {0, 2}
+
+
 def test_benchmark_stage(spark, stages):
     before, after = stages["benchmark"]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
