@@ -1,5 +1,6 @@
 """Main-text extraction, licence scans, mixing and token output."""
 
+import os
 import random
 import zlib
 
@@ -49,6 +50,23 @@ def test_shared_lines_go_where_nothing_marks_the_article(spark):
     assert got[3][0] == "Site name\n\nLatest news\n\nThird.\n\nContact us"  # no neighbour, no marks
 
 
+@pytest.mark.parametrize("part_rows", [1, 3, 256])
+def test_every_page_meets_the_nearest_url_of_its_host(spark, part_rows):
+    rng = random.Random(4)
+    slugs = sorted({"/".join(rng.choice(("news", "sport", "a-long-story", "b")) + str(rng.randrange(30)) for _ in range(rng.randrange(1, 4))) for _ in range(45)})
+    line = lambda i, j: f"<p>pair {min(i, j)} {max(i, j)}</p>"  # noqa: E731  only these two pages share it
+    rows = [(i, f"http://h.example/{slug}", f"<p>{'own ' * 400}{i}</p>" + "".join(line(i, j) for j in range(len(slugs)) if j != i)) for i, slug in enumerate(slugs)]
+    rng.shuffle(rows)
+    pages = spark.createDataFrame(rows + [(99, "http://alone.example/news1", "<p>pair 0 1</p>")], "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages, part_rows=part_rows).collect()}
+    alike = lambda i, j: len(os.path.commonprefix([slugs[i], slugs[j]]))
+    for i in range(len(slugs)):
+        near = max((j for j in (i - 1, i + 1) if 0 <= j < len(slugs)), key=lambda j: alike(i, j))
+        assert alike(i, near) == max(alike(i, j) for j in range(len(slugs)) if j != i)
+        assert [j for j in range(len(slugs)) if j != i and line(i, j)[3:-4] not in got[i].split("\n\n")] == [near]
+    assert got[99] == "pair 0 1" and len(got) == len(rows) + 1
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "not a url", "<p>a"), (4, "http://h/x", "plain < text > & more"), (5, "http://h/x", "<article><p>x" + "y " * 50_000), (6, "http://h/x", "<p title='a>b'>c</p><script>never closed"), (6, "http://h/x", "<article>twice</article>")]
     got = texts_of(spark, rows)
