@@ -50,6 +50,16 @@ def test_shared_lines_go_where_nothing_marks_the_article(spark):
     assert got[3][0] == "Site name\n\nLatest news\n\nThird.\n\nContact us"  # no neighbour, no marks
 
 
+def test_copies_of_pages_without_marks_stay(spark):
+    plain = lambda own: f"<body><div>Site name</div><div>Latest news</div>{own}<div>Contact us</div></body>"
+    story, other = (f"{name} story. " + "It is long. " * 30 for name in ("One", "Another"))
+    rows = [(k, f"http://h.example/a/1{k}", plain(f"<p>{story}</p>")) for k in range(3)] + [(3, "http://h.example/a/19", plain(f"<p>{other}</p>"))]
+    rows += [(k, "http://twice.example/a", plain(f"<p>{story}</p>")) for k in (4, 4, 5)]
+    got = texts_of(spark, rows)
+    assert [got[k][0] for k in range(4)] == [story.strip()] * 3 + [other.strip()]  # against the next one that is no copy
+    assert {got[k][0] for k in (4, 5)} == {f"Site name\n\nLatest news\n\n{story.strip()}\n\nContact us"}  # nothing but copies
+
+
 @pytest.mark.parametrize("part_rows", [1, 3, 256])
 def test_every_page_meets_the_nearest_url_of_its_host(spark, part_rows):
     rng = random.Random(4)
