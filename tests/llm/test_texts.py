@@ -50,6 +50,12 @@ def test_shared_lines_go_where_nothing_marks_the_article(spark):
     assert got[3][0] == "Site name\n\nLatest news\n\nThird.\n\nContact us"  # no neighbour, no marks
 
 
+def test_marked_pages_are_not_compared(monkeypatch):
+    monkeypatch.setattr(html_text, "shared_lines", lambda a, b: pytest.fail("compared"))
+    one, two = (html_text.parse(page(f"<p>{x}</p><p>Both</p>")) for x in ("One", "Two"))
+    assert html_text.main_lines(one, [two]) == ["One", "Both"]
+
+
 def test_copies_of_pages_without_marks_stay(spark):
     plain = lambda own: f"<body><div>Site name</div><div>Latest news</div>{own}<div>Contact us</div></body>"
     story, other = (f"{name} story. " + "It is long. " * 30 for name in ("One", "Another"))
