@@ -57,8 +57,89 @@ RULES = (
     ("All-Rights-Reserved", (18,)),
 )
 
+_FREE = "is free software{m} you can redistribute it and/or modify it under the terms of the GNU {n}General Public License as published by the Free Software Foundation{m} "
+_LATER = "either version {v} of the License, or (at your option) any later version."
+_ISC = "Permission to use, copy, modify, {and_} distribute this software for any purpose with or without fee is hereby granted{rest}"
+_NOTICE = ", provided that the above copyright notice and this permission notice appear in all copies."
+_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+#: Sentences of the licences' own texts and headers, as they are published.  The SQL holds those above only.
+MORE_SENTENCES = {
+    21: f"{_GRANT}, subject to the following conditions:",
+    22: f"{_GRANT}.",
+    23: "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+    24: "See the License for the specific language governing permissions and limitations under the License.",
+    25: "Apache License Version 2.0, January 2004",
+    26: "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    27: "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    28: "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    29: "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission.",
+    30: "This program " + _FREE.format(m=":", n="").replace("Foundation:", "Foundation,") + _LATER.format(v="3"),
+    31: "This program " + _FREE.format(m=";", n="") + _LATER.format(v="2"),
+    32: "This program " + _FREE.format(m=";", n="") + "version 2 of the License.",
+    33: "This library " + _FREE.format(m=";", n="Lesser ") + _LATER.format(v="2.1"),
+    34: "This program " + _FREE.format(m=":", n="Lesser ") + _LATER.format(v="3"),
+    35: "This library " + _FREE.format(m=":", n="Lesser ") + _LATER.format(v="3"),
+    36: "This program " + _FREE.format(m=":", n="Affero ") + _LATER.format(v="3"),
+    37: "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    38: "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    39: "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    40: "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    41: "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    42: _ISC.format(and_="and/or", rest=_NOTICE),
+    43: _ISC.format(and_="and", rest=_NOTICE),
+    44: _ISC.format(and_="and/or", rest="."),
+    45: "Mozilla Public License Version 2.0",
+    46: "CC0 1.0 Universal",
+    47: "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (as defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship and/or a database (each, a \"Work\").",
+    48: "Distributed under the Boost Software License, Version 1.0.",
+    49: "Boost Software License - Version 1.0 - August 17th, 2003",
+    50: "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    51: "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    52: "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    53: "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    54: "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    55: "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+}
+#: Rules of these sentences, before the others; each needs one of them.
+MORE_RULES = (
+    ("Apache-2.0", (23,)),
+    ("Apache-2.0", (25,)),
+    ("MIT", (21, 6)),
+    ("MIT-0", (22,)),
+    ("AGPL-3.0-or-later", (36,)),
+    ("LGPL-3.0-or-later", (34,)),
+    ("LGPL-3.0-or-later", (35,)),
+    ("LGPL-2.1-or-later", (33,)),
+    ("GPL-3.0-or-later", (30,)),
+    ("GPL-2.0-or-later", (31,)),
+    ("GPL-2.0-only", (32,)),
+    ("AGPL-3.0-only", (41,)),
+    ("LGPL-3.0-only", (39,)),
+    ("LGPL-2.1-only", (40,)),
+    ("GPL-3.0-only", (37,)),
+    ("GPL-2.0-only", (38,)),
+    ("BSD-4-Clause", (14, 28)),
+    ("BSD-3-Clause", (14, 29)),
+    ("ISC", (42,)),
+    ("ISC", (43,)),
+    ("0BSD", (44,)),
+    ("MPL-2.0", (45,)),
+    ("CC0-1.0", (46,)),
+    ("CC0-1.0", (47,)),
+    ("BSL-1.0", (48,)),
+    ("BSL-1.0", (49,)),
+    ("Zlib", (50,)),
+    ("CC-BY-SA-4.0", (51,)),
+    ("CC-BY-NC-4.0", (52,)),
+    ("CC-BY-NC-SA-4.0", (53,)),
+    ("CC-BY-ND-4.0", (54,)),
+    ("CC-BY-NC-ND-4.0", (55,)),
+)
+
 #: A sentence ends with a mark and white space, or with its line.  A version number's dots don't end one.
 BREAK = r"[.!?][ \t\r]+|\n"
+#: A sentence wrapped over lines ends with a mark and white space, or before a line without letters and digits.
+STOP = r"[.!?][ \t\r\n]+|\n[^a-z0-9\n]*(?=\n)"
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -71,26 +152,44 @@ def normal(sentence: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip(" ")
 
 
-def _pieces() -> dict[str, int]:
+def _pieces(sentences: dict[int, str] = SENTENCES) -> dict[str, int]:
     """Normalised forms; a known sentence with a break inside is known by its longest piece."""
     import re
 
     out = {}
-    for k, s in SENTENCES.items():
+    for k, s in sentences.items():
         parts = [x for x in re.split(BREAK, s) if normal(x)]
         out.setdefault(max(map(normal, parts), key=len), k)
     return out
 
 
 def sentence_ids(text: Column) -> Column:
-    """The identifiers of the text's known sentences, in order."""
-    known = _pieces()
+    """The identifiers of the text's known sentences, in order.
+
+    A sentence begins with its line or after another, and may go on over the lines that follow; where several known ones begin
+    on one line, the longest counts.  One that is the end of another, on lines of its own, counts too.
+    """
+    known = _pieces(SENTENCES | MORE_SENTENCES)
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    hints = sorted({x.split()[0] for x in known})  # each known sentence's first word, as a cheap filter before normalising
-    hint = "^[^a-z0-9]*(?:" + "|".join(hints) + ")[^a-z0-9]"
-    parts = F.filter(F.split(F.translate(text, _UPPER, _UPPER.lower()), BREAK), lambda s: s.rlike(hint))
-    forms = F.transform(parts, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(forms, lambda s: F.element_at(names, s)), lambda k: k.isNotNull())
+    most = max(len(x.split()) for x in known)  # a line kept has a word, so no sentence goes over more lines
+    seconds: dict[str, set[str]] = {}
+    for x in known:
+        seconds.setdefault(x.split()[0], set()).add(x.split()[1])
+    # each known sentence's first two words, as a cheap filter before lines are joined
+    pairs = "|".join(f"{a}[^a-z0-9]+(?:{'|'.join(sorted(b))})(?![a-z0-9])" for a, b in sorted(seconds.items()))
+    units = F.filter(F.split(F.translate(text, _UPPER, _UPPER.lower()), STOP), lambda u: u.rlike(f"(?:^|\\n)[^a-z0-9\\n]*(?:{pairs})"))
+
+    def found(lines: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.substring_index(F.element_at(lines, i), " ", 1).isin(*seconds))
+
+        def longest(i: Column) -> Column:
+            runs = F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size(lines) - i + 1)), lambda n: F.element_at(names, F.array_join(F.slice(lines, i, n), " ")))
+            return F.get(F.reverse(F.filter(runs, lambda k: k.isNotNull())), F.lit(0))
+
+        return F.filter(F.transform(starts, longest), lambda k: k.isNotNull())
+
+    lines = F.transform(units, lambda u: F.filter(F.transform(F.split(u, "\n"), lambda x: F.trim(F.regexp_replace(x, "[^a-z0-9]+", " "))), lambda x: x != ""))
+    return F.flatten(F.transform(lines, found))
 
 
 def in_order(ids: Column, rule: tuple[int, ...]) -> Column:
@@ -108,10 +207,11 @@ def scan(docs: DataFrame) -> DataFrame:
     `sentences` are the identifiers found, comma-joined in text order; `licence` the first rule's that
     matches, `licences` all that do, comma-joined in the rules' order, each once; both are empty strings where none
     does.  Null, empty and wordless texts have none.  Rows are judged each by its text.
+    The SQL gives the same where no known sentence is wrapped over lines and none is of MORE_SENTENCES.
     """
     found = columns(docs, "doc_id", "text").select("doc_id", sentence_ids(F.coalesce("text", F.lit(""))).alias("ids"))
     # most texts have none: rules are tried on the others only
-    names = F.array_distinct(F.filter(F.array(*[F.when(in_order(F.col("ids"), rule), F.lit(name)) for name, rule in RULES]), lambda x: x.isNotNull()))
+    names = F.array_distinct(F.filter(F.array(*[F.when(in_order(F.col("ids"), rule), F.lit(name)) for name, rule in MORE_RULES + RULES]), lambda x: x.isNotNull()))
     found = found.withColumn("names", F.when(F.size("ids") > 0, names).otherwise(F.array().cast("array<string>")))
     return found.select(
         "doc_id", F.array_join(F.transform("ids", lambda k: k.cast("string")), ",").alias("sentences"), F.size("ids").cast("long").alias("n_sentences"), F.coalesce(F.get("names", F.lit(0)), F.lit("")).alias("licence"), F.array_join("names", ",").alias("licences")

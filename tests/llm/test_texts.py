@@ -125,6 +125,75 @@ def test_rules_need_their_order(spark):
     assert got[4] == ("", 0, "", "") and got[5] == ("", 0, "", "")
 
 
+#: Published headers and texts, wrapped as they are.
+WRAPPED = {
+    "Apache-2.0": """# Copyright 2020 Someone
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os""",
+    "MIT": """MIT License\n\nCopyright (c) 2020 Someone\n
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.\n""",
+    "GPL-3.0-or-later": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.\r\n *\r\n * This program is distributed""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "MPL-2.0": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "CC0-1.0": "Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n    CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM",
+}
+
+
+def test_wrapped_licence_texts(spark):
+    got = scan(spark, list(WRAPPED.values()))
+    assert {name: got[k][2] for k, name in enumerate(WRAPPED)} == {name: name for name in WRAPPED}
+    assert got[0][0] == "23,2,3,24" and got[1][0] == "21,6" and got[2][0] == "14,26,27,15"
+
+
+def test_every_further_sentence_is_known_however_it_is_wrapped(spark):
+    s = licenses.MORE_SENTENCES
+    for wrap in (s.values(), [x.replace(" - ", " ").replace(" ", "\n# ") for x in s.values()], [f"Some words\n{x.replace(' ', '  ')}\nMore words" for x in s.values()]):
+        got = scan(spark, list(wrap))
+        assert [got[k][0].replace("23,2", "23") for k in range(len(s))] == [str(k) for k in s]  # 23 ends in sentence 2
+
+
 def test_licences_of_odd_texts(spark):
     got = scan(spark, ODD)
     assert set(got.values()) == {("", 0, "", "")} and len(got) == len(ODD)
