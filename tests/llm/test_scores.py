@@ -103,6 +103,18 @@ def test_language_of_odd_texts(spark):
     assert language_id.language_id(docs.limit(0)).count() == 0
 
 
+def test_any_number_of_languages(spark):
+    """2100 labels; and the same result from one tree as from a tree for each language."""
+    many = spark.range(6300).selectExpr("id AS doc_id", "concat('abc ', chr(CAST(97 + id % 26 AS INT)), ' def') AS text", "concat('l', id % 2100) AS lang")
+    got = language_id.language_id(many)
+    assert got.count() == 6300 and got.where("score <= 0 OR score > 1 OR lang_pred NOT LIKE 'l%'").count() == 0
+    words = {"de": "der hund und die katze ", "en": "the dog and the cat ", "es": "el perro y el gato ", "fr": "le chien et le chat "}
+    rows = [(i, w * 2, lang) for i, (lang, w) in enumerate(list(words.items()) * 20)] + [(500, None, "en"), (501, "...", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, each = (sorted((r["doc_id"], r["held_out"], r["lang_pred"]) for r in language_id.language_id(docs, block_bytes=b).collect()) for b in (64 << 20, 1))
+    assert one == each and {(i, p) for i, _, p in one if i < 500} == {(i, lang) for i, _, lang in rows[:80]}
+
+
 def test_code_lengths_are_exact():
     """The tree's lengths against prediction by partial matching written out for each byte."""
     rng = np.random.default_rng(1)
