@@ -31,29 +31,79 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xA24BAED4963EE407))
-_P = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
-_P_INV = pow(_P, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+_LONG = 64  # bytes; longer spans are hashed one at a time
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_P, _P_INV)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of `data` and its end, as a number; zeros follow the end."""
+    wide = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", wide, strides=(1,))
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each data[start:end]; equal bytes give equal hashes anywhere in any batch."""
-    power, inverse = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
-    raw = (sums[end] - sums[start]) * inverse[start]
-    return mix(raw + (end - start).astype(np.uint64) * _U(0x8CB92BA72F3D8DD7))
+    """A 64-bit hash of each data[start:end]; equal bytes give equal hashes anywhere in any batch.
+
+    Eight bytes at a time go through `mix`, each step on the last one's result, so that no sum or power of
+    bytes can cancel; spans over 64 bytes go through xxh3.  Spans of one length of eight bytes or fewer
+    never collide.
+    """
+    size = end - start
+    h = mix(size.astype(np.uint64) + _U(0x8CB92BA72F3D8DD7))
+    if not len(h):
+        return h
+    lanes = eights(data)
+    h = mix(h + (lanes[start] & _TAIL[np.minimum(size, 8)]))
+    live = np.flatnonzero((size > 8) & (size <= _LONG))
+    k = 8
+    while len(live):
+        h[live] = mix(h[live] + (lanes[start[live] + k] & _TAIL[np.minimum(size[live] - k, 8)]))
+        k += 8
+        live = live[size[live] > k]
+    far = np.flatnonzero(size > _LONG)
+    if len(far):
+        from xxhash import xxh3_64_intdigest
+
+        raw = memoryview(np.ascontiguousarray(data))
+        h[far] = [xxh3_64_intdigest(raw[a:b], 0x5EED) for a, b in zip(start[far].tolist(), end[far].tolist())]
+    return h
+
+
+class Tally:
+    """Counts of 64-bit keys in one task: handed over when more than about `most` distinct ones are held."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.most, self.size, self.held = most, 0, []
+
+    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
+        names, at = np.unique(np.concatenate([p[0] for p in self.held]), return_inverse=True)
+        return names, np.bincount(at, weights=np.concatenate([p[1] for p in self.held])).astype(np.int64)
+
+    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(np.unique(keys, return_counts=True))
+        self.size += len(self.held[-1][0])
+        if self.size > self.most:
+            self.held = [self._merged()]
+            self.size = len(self.held[0][0])
+            if self.size > self.most // 2:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            names, n = self._merged()
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n)], names=["key", "n"])
+        self.size, self.held = 0, []
+
+
+def least_count(counts: DataFrame, most: int) -> int | None:
+    """The least n such that at most `most` rows of counts(n) have it or more; None where the most frequent are too many."""
+    step = F.when(F.col("n") < 4096, F.col("n").cast("double")).otherwise(F.floor(F.log2("n") * 64) + 10_000)
+    total, least = 0, None
+    for _, size, low in counts.groupBy(step.alias("step")).agg(F.count("*"), F.min("n")).orderBy(F.desc("step")).collect():  # 7,000 rows at most
+        if total + size > most:
+            break
+        total, least = total + size, low
+    return least
 
 
 def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -64,7 +114,6 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
         import gc
 
         yield from run(batches)
-        _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
         gc.collect()
         pa.default_memory_pool().release_unused()
         try:
@@ -172,10 +221,13 @@ def crc_mod(key: str, m: int) -> Column:
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the shared folder that the session names; only a session without one (tests) gets its own."""
+    """Checkpoints go to the shared folder that the session names in spark.checkpoint.dir.  Without one, a session on one machine gets its own; on a cluster nothing could outlive an executor."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
 def checkpoint(df: DataFrame, narrow: bool = False) -> DataFrame:
