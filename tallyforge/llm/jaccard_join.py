@@ -1,19 +1,27 @@
 """N-gram Jaccard join by signature trees.
 
-Every text becomes the set of its distinct word shingles (64-bit hashes, 128-bit sum per set).
-Texts with equal sets are one representative from then on.  Representatives are dealt to buckets by
-bands of minima under random orders; a pair at the threshold misses every bucket with probability
-(1 - t**rows)**bands, 1.2e-10 at the defaults, and a pair of equal sets never.  Within a bucket:
-
-1. each member is compared with the bucket's first member, and the links found are merged;
-2. buckets that still hold several components are searched completely: a signature tree, whose nodes
-   hold the OR of their members' token bitmaps, their size range and their component if it is one,
-   is traversed against itself.  A pair of nodes is left out when both lie in one component, when
-   the sizes exclude the threshold, or when the greatest possible overlap, seen from the bits that
-   the other node lacks, is too small.
-
-Pairs that survive are verified on the full shingle sets, so links are exact.  Nothing is capped:
-a bucket of more members than `block` is cut into nodes that are paired as separate tasks.
+Every text becomes the set of its distinct word shingles (64-bit hashes, 128 bits for a whole set).  Rows
+with equal sets are one representative from then on, numbered by itself, so that a doc_id in several rows
+with different texts is several representatives.
+
+A pair of sets that reaches the threshold shares `ceil(t * n)` shingles of either's n or more, so both have a
+common one among their first `n - ceil(t * n) + 1` in any one order of all shingles (prefix filter).  The tree's
+first level has a node for each shingle, holding the representatives that have it among these; pairs of nodes
+of different shingles need no visit, whatever their members, as every pair that could reach the threshold
+meets in one.  No pair is missed.  The order only decides how large the nodes are: shingles in many texts
+come last, by their number of texts, the rest by hash.
+
+Within a first-level node:
+
+1. each member is compared with the node's first one, and the links found are merged into components;
+2. nodes that still hold several components are searched completely: members are dealt to nodes of `block` by
+   size (large components to nodes of their own), and below these stands a signature tree.  All nodes hold
+   the OR of their members' token bitmaps, their size range and their component if it is one.  A dual
+   traversal leaves a pair of nodes out when both lie in one component, when the sizes exclude the
+   threshold, or when the greatest possible overlap, seen from the bits that the other lacks, is too small.
+
+Pairs that survive are verified on whole texts, word by word, so links don't rest on hashes.  Nothing is
+capped: pairs of the nodes of a large first-level node are separate tasks.
 """
 
 from __future__ import annotations
@@ -22,14 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, checkpoint, columns, documents, mix, tidied, utf8, windows
+from .common import Tally, Words, blocks, checkpoint, columns, documents, least_count, mix, tidied, utf8, windows
 from .graph import components
 
 _U = np.uint64
 BITS = 1024
+#: Shingles with lower hashes are counted to find those in many texts; few sets' first ones reach beyond.
+_COUNTED = _U(1 << 62)
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,23 +63,61 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else got), offsets
 
 
-def _minima(sets: np.ndarray, offsets: np.ndarray, n_hashes: int) -> np.ndarray:
-    """(texts, n_hashes) minima of multiply-shift permutations; texts without shingles get zeros."""
-    full = np.flatnonzero(np.diff(offsets))
-    out = np.zeros((len(offsets) - 1, n_hashes), np.uint64)
-    if len(full):
-        heads = offsets[:-1][full]
-        for k in range(n_hashes):
-            a = int(mix(np.array([2 * k + 1], np.uint64))[0]) | 1
-            x = sets * _U(a)
-            x ^= x >> _U(32)
-            x *= _U(0x9E3779B97F4A7C15 ^ (k << 1))
-            out[full, k] = np.minimum.reduceat(x, heads)
-    return out
+def set_names(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each whole set, as two signed numbers."""
+    out = []
+    for salt in (0x1F, 0x2F):
+        total = np.zeros(len(sets) + 1, np.uint64)
+        np.cumsum(mix(sets ^ _U(salt << 40)), out=total[1:])
+        out.append(mix(total[offsets[1:]] - total[offsets[:-1]] + np.diff(offsets).astype(np.uint64)).view(np.int64))
+    return out[0], out[1]
 
 
-def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n, hi, lo, bands, bits) of each text."""
+def frequent_shingles(docs: DataFrame, width: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, of counted shingles in `least` rows or more, and their rank by rows; at most `most`, the most frequent ones.
+
+    They are broadcast, 16 bytes each; more would only make first-level nodes smaller.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        for batch in batches:
+            data, at = utf8(batch.column(0))
+            for i, j in blocks(at):
+                sets = shingles(Words(data, at, i, j), width)[0]
+                yield from tally.add(sets[sets < _COUNTED])
+        yield from tally.rest()
+
+    counts = columns(docs, "text").mapInArrow(tidied(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = checkpoint(counts.where(F.col("n") >= least), narrow=True)
+    cut = least_count(counts, most)
+    got = counts.where(F.col("n") >= cut if cut is not None else F.lit(False)).toArrow()
+    names, n = got.column("key").to_numpy().astype(np.int64).view(np.uint64), got.column("n").to_numpy()
+    rank = np.empty(len(names), np.int64)
+    rank[np.lexsort((names, n))] = np.arange(1, len(names) + 1)
+    order = np.argsort(names)
+    return names[order], rank[order]
+
+
+def prefixes(sets: np.ndarray, offsets: np.ndarray, num: int, den: int, names: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first n - ceil(num / den * n) + 1 shingles of each set of n, frequent ones last, end to end, and their offsets."""
+    n = np.diff(offsets)
+    keep = np.where(n > 0, n - (num * n + den - 1) // den + 1, 0)
+    late = np.zeros(len(sets), np.int64)
+    if len(names):
+        low = np.flatnonzero(sets < _COUNTED)
+        at = np.minimum(np.searchsorted(names, sets[low]), len(names) - 1)
+        hit = names[at] == sets[low]
+        late[low[hit]] = rank[at[hit]]
+    doc = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(doc * (len(names) + 1) + late, kind="stable")  # a set's hashes ascend already
+    place = np.arange(len(sets)) - np.repeat(offsets[:-1], n)
+    return sets[order[place < np.repeat(keep, n)]], np.concatenate([[0], np.cumsum(keep)])
+
+
+def signatures(docs: DataFrame, width: int, num: int, den: int, names: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """(doc_id, n, hi, lo, first, bits) of each row."""
+    sent = docs.sparkSession.sparkContext.broadcast((names, rank))  # bounded: see frequent_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,25 +125,17 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             for i, j in blocks(at):
                 sets, offsets = shingles(Words(data, at, i, j), width)
                 n = np.diff(offsets)
-                sums = []
-                for salt in (0x1F, 0x2F):
-                    total = np.zeros(len(sets) + 1, np.uint64)
-                    np.cumsum(mix(sets ^ _U(salt << 40)), out=total[1:])
-                    sums.append(mix(total[offsets[1:]] - total[offsets[:-1]] + n.astype(np.uint64)).view(np.int64))
-                low = _minima(sets, offsets, bands * rows).reshape(j - i, bands, rows)
-                keys = np.zeros((j - i, bands), np.uint64)
-                for r in range(rows):
-                    keys = mix(keys + low[:, :, r] + _U(r + 1))
-                keys = mix(keys + np.arange(1, bands + 1, dtype=np.uint64)).view(np.int64)
+                hi, lo = set_names(sets, offsets)
+                first, cuts = prefixes(sets, offsets, num, den, *sent.value)
                 bits = np.zeros((j - i, BITS), bool)
                 bits[np.repeat(np.arange(j - i), n), (sets >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)] = True
-                packed = np.packbits(bits, axis=1)
+                words = np.packbits(bits, axis=1).view(np.int64).ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i) * bands + 1, bands), pa.int32()), pa.array(keys.ravel())), pa.array([x.tobytes() for x in packed], pa.binary())],
-                    names=["doc_id", "n", "hi", "lo", "bands", "bits"],
+                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(hi), pa.array(lo), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(first.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, BITS // 64), pa.int32()), pa.array(words))],
+                    names=["doc_id", "n", "hi", "lo", "first", "bits"],
                 )
 
-    return columns(docs, "doc_id", "text").mapInArrow(tidied(run), "doc_id long, n long, hi long, lo long, bands array<long>, bits binary")
+    return columns(docs, "doc_id", "text").mapInArrow(tidied(run), "doc_id long, n long, hi long, lo long, first array<long>, bits array<long>")
 
 
 class SignatureTree:
@@ -173,56 +213,128 @@ class SignatureTree:
         return i[keep], j[keep]
 
 
-def linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets meet the threshold.  Only texts that a pair names are read and shuffled."""
+def named(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, hi, lo, text) of each row with a doc_id."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(1))
             for i, j in blocks(at):
-                got, offsets = shingles(Words(data, at, i, j), width)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([got[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())], names=["doc_id", "tokens"])
+                hi, lo = set_names(*shingles(Words(data, at, i, j), width))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(hi), pa.array(lo), batch.column(1).slice(i, j - i)], names=["doc_id", "hi", "lo", "text"])
+
+    return columns(docs, "doc_id", "text").where("doc_id is not null").mapInArrow(tidied(run), "doc_id long, hi long, lo long, text string")
+
+
+def exact_shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle) of each distinct shingle of `width` words, ascending; numbers are equal only where all words' bytes are."""
+    if len(w.start) < width:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.cumsum(np.append(0, w.end - w.start)).astype(np.int64)
+    word = pa.Array.from_buffers(pa.large_binary(), len(w.start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(w.data[w.inside]))])
+    word = word.dictionary_encode().indices.to_numpy().astype(np.int64)
+    doc, n_words = w.doc(), int(word.max()) + 1
+    at = np.flatnonzero(doc[: len(doc) - width + 1] == doc[width - 1 :])
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    code, most = word[at], n_words
+    for k in range(1, width):
+        if most * n_words > 1 << 62:
+            names, code = np.unique(code, return_inverse=True)
+            most = len(names)
+        code, most = code * n_words + word[at + k], most * n_words
+    names, code = np.unique(code, return_inverse=True)
+    key = np.unique(doc[at] * len(names) + code)
+    return key // len(names), key % len(names)
+
+
+def linked(pairs: DataFrame, groups: DataFrame, docs: DataFrame, width: int, num: int, den: int, together: int = 256) -> DataFrame:
+    """The pairs (a, b) of representatives whose texts meet the threshold, compared word by word.
+
+    A pair's second text travels to its first one, which has a copy for every `together` partners, so a hot one's are
+    many tasks.  Texts of fewer words than `width` differ from every other representative's.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (a, salt, kind, b, text) in order: a first text, of kind 0, and its partners."""
+        held: tuple[int, bytes] | None = None  # the last first text
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(p, q)
-                both = int((p[np.minimum(at, len(p) - 1)] == q).sum()) if len(p) else 0
-                keep.append(den * both >= num * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
-
-    named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = columns(docs, "doc_id", "text").join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    tokens = checkpoint(texts.mapInArrow(tidied(sets), "doc_id long, tokens binary"))
-    left, right = (tokens.select(F.col("doc_id").alias(k), F.col("tokens").alias(f"{k}_tokens")) for k in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(tidied(compare), "a long, b long")
-
-
-def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components in a bucket, from members (key, id, n, bits, label)."""
-    # tables of their own, so that a hot bucket's side of each join can be split
-    sizes = checkpoint(members.groupBy("key", "label").agg(F.count("*").alias("m")), narrow=True)
-    mixed = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.sum(F.when(F.col("m") <= block, F.col("m")).otherwise(0)).alias("small"))
-    mixed = checkpoint(mixed.where("labels > 1").drop("labels"), narrow=True)
-    sizes = sizes.where(F.col("m") > block)
-    dealt = members.join(mixed, "key").join(sizes, ["key", "label"], "left").withColumn(
-        "node",  # a large component's members have blocks of their own, the other components share some
-        F.when(F.col("m").isNotNull(), F.hash("label", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block))).cast("long") + F.lit(1 << 33)).otherwise(F.pmod(F.xxhash64("label"), F.greatest(F.lit(1), F.ceil(F.col("small") / block)))),
-    ).select("key", "node", "id", "n", "bits", "label")
-    dealt = checkpoint(dealt)
-    nodes = dealt.groupBy("key", "node").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("c0"), F.max("label").alias("c1"))
-    left = nodes.select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "low", "high", "c0", "c1")])
-    right = nodes.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "low", "high", "c0", "c1")])
-    tasks = left.join(right, "key").where("x_node <= y_node").where(~((F.col("x_c0") == F.col("x_c1")) & (F.col("y_c0") == F.col("y_c1")) & (F.col("x_c0") == F.col("y_c0")))).where((den * F.col("x_high") >= num * F.col("y_low")) & (den * F.col("y_high") >= num * F.col("x_low")))
+            a, kind, b = (np.asarray(batch.column(k)) for k in (0, 2, 3))
+            data, at = utf8(batch.column(4))
+            for i, j in blocks(at):
+                own, first = (data[at[i] : at[j]], at[i : j + 1] - at[i]), int(held is not None)
+                block_a, block_kind, block_b = a[i:j], kind[i:j], b[i:j]
+                if held is not None:
+                    own = np.concatenate([np.frombuffer(held[1], np.uint8), own[0]]), np.concatenate([[0], own[1] + len(held[1])])
+                    block_a, block_kind, block_b = np.append(held[0], block_a), np.append(0, block_kind), np.append(held[0], block_b)
+                n_texts = j - i + first
+                doc, code = exact_shingles(Words(own[0], own[1], 0, n_texts), width)
+                head = np.maximum.accumulate(np.where(block_kind == 0, np.arange(n_texts), 0))
+                if len(code):
+                    wide = int(code.max()) + 1
+                    key, ask = doc * wide + code, head[doc] * wide + code
+                    both = np.bincount(doc, weights=key[np.minimum(np.searchsorted(key, ask), len(key) - 1)] == ask, minlength=n_texts).astype(np.int64)
+                    n = np.bincount(doc, minlength=n_texts)
+                    ok = (block_kind == 1) & (block_a == block_a[head]) & (both > 0) & (den * both >= num * (n + n[head] - both))
+                    yield pa.RecordBatch.from_arrays([pa.array(block_a[ok]), pa.array(block_b[ok])], names=["a", "b"])
+                k = int(head[-1])
+                held = int(block_a[k]), own[0][own[1][k] : own[1][k + 1]].tobytes()
+
+    load = checkpoint(pairs.groupBy("a").agg(F.ceil(F.count("*") / together).cast("int").alias("salts")), narrow=True)
+    members = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "b", F.col("b").alias("id"))
+    heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("b"), F.col("a").alias("id"))
+    uses = checkpoint(members.unionAll(heads).join(groups.select("id", "doc_id", "hi", "lo"), "id").drop("id"))
+    rows = named(docs, width).join(uses, ["doc_id", "hi", "lo"]).select("a", "salt", "kind", "b", "text")
+    order = ("a", "salt")
+    return rows.repartition(*order).sortWithinPartitions(*order, "kind").mapInArrow(tidied(compare), "a long, b long").distinct()
+
+
+_LONGS = range(BITS // 64)
+
+
+def _fits(x: str, y: str, num: int, den: int) -> Column:
+    """Whether a pair of nodes x, y may hold a pair of two components that reaches the threshold."""
+    c = F.col
+    one = (c(f"{x}_c0") == c(f"{x}_c1")) & (c(f"{y}_c0") == c(f"{y}_c1")) & (c(f"{x}_c0") == c(f"{y}_c0"))
+    sizes = (den * c(f"{x}_high") >= num * c(f"{y}_low")) & (den * c(f"{y}_high") >= num * c(f"{x}_low"))
+    shared = sum((F.bit_count(c(f"{x}_b{k}").bitwiseAND(c(f"{y}_b{k}"))) for k in _LONGS), F.lit(0))
+    most = [c(f"{z}_high") - F.greatest(F.lit(0), c(f"{z}_least") - shared) for z in (x, y)]
+    return ~one & sizes & ((den + num) * F.least(*most) >= num * (c(f"{x}_low") + c(f"{y}_low")))
+
+
+def _dealt(members: DataFrame, block: int) -> DataFrame:
+    """members(key, id, n, bits, label) with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
+    large = checkpoint(members.groupBy("key").count().where(F.col("count") > block).select("key"), narrow=True)
+    of_large = members.join(large, "key").groupBy("key", "label", "n").agg(F.count("*").alias("m"))
+    of_large = checkpoint(of_large, narrow=True)
+    own = of_large.groupBy("key", "label").agg(F.sum("m").alias("all")).where(F.col("all") > block).select("key", "label", F.col("label").alias("part"))
+    own = checkpoint(own, narrow=True)
+    sizes = of_large.join(own, ["key", "label"], "left").groupBy("key", "part", "n").agg(F.sum("m").alias("m"))
+    before = Window.partitionBy("key", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)  # one row for each size
+    spans = sizes.select("key", "part", "n", F.floor(F.coalesce(F.sum("m").over(before), F.lit(0)) / block).alias("span"), F.ceil(F.col("m") / block).alias("split"))
+    spans = checkpoint(spans.withColumn("part", F.coalesce("part", F.lit(-1))), narrow=True)
+    parts = members.join(own, ["key", "label"], "left").withColumn("part", F.coalesce("part", F.lit(-1)))  # a component's label is 0 or more
+    node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id"), F.col("split")))  # null under a key of one node
+    return parts.join(spans, ["key", "part", "n"], "left").select("key", node.alias("node"), F.col("span").isNotNull().alias("several"), "id", "n", "bits", "label")
+
+
+def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
+    """Pairs of different components under a key that may reach the threshold, from members(key, id, n, bits, label)."""
+    dealt = checkpoint(_dealt(members, block))
+    lone, dealt = dealt.where("NOT several"), dealt.where("several")
+    bit = [F.col("bits")[k] for k in _LONGS]
+    held = dealt.select("key", "node", "n", "label", sum(map(F.bit_count, bit), F.lit(0)).alias("ones"), *[b.alias(f"b{k}") for k, b in enumerate(bit)])
+    nodes = held.groupBy("key", "node").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("c0"), F.max("label").alias("c1"), F.min("ones").alias("least"), *[F.bit_or(f"b{k}").alias(f"b{k}") for k in _LONGS])
+    nodes = checkpoint(nodes)
+    left, right = (nodes.select("key", *[F.col(c).alias(f"{x}_{c}") for c in nodes.columns if c != "key"]) for x in "xy")
+    tasks = left.join(right, "key").where("x_node <= y_node").where(_fits("x", "y", num, den))
     tasks = tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted rows of many tasks; a task's rows lie together, and only the last one's wait for the next batch."""
         held: list[np.ndarray] | None = None
 
-        def pairs(part: list[np.ndarray]) -> pa.RecordBatch | None:
+        def pairs(part: list[np.ndarray]) -> pa.RecordBatch:
             task, node, ids, n, label, bits = part
             cuts = np.concatenate([[0], np.flatnonzero((task[1:] != task[:-1]).any(1)) + 1, [len(task)]])
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
@@ -236,8 +348,8 @@ def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFram
 
         for batch in batches:
             numbers = [np.asarray(batch.column(k)) for k in range(7)]
-            raw = b"".join(x.as_py() for x in batch.column(7))
-            part = [np.stack(numbers[:3], axis=1), *numbers[3:], np.frombuffer(raw, np.uint64).reshape(batch.num_rows, BITS // 64)]
+            bits = np.asarray(batch.column(7).flatten()).view(np.uint64).reshape(batch.num_rows, BITS // 64)
+            part = [np.stack(numbers[:3], axis=1), *numbers[3:], bits]
             if held is not None:
                 part = [np.concatenate(x) for x in zip(held, part)]
             last = int(np.flatnonzero((part[0] != part[0][-1]).any(1)).max(initial=-1)) + 1 if len(part[0]) else 0
@@ -247,56 +359,84 @@ def _cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFram
         if held is not None and len(held[0]):
             yield pairs(held)
 
+    own = F.lit(0).cast("long")
     rows = tasks.join(dealt, ["key", "node"]).select("key", "x_node", "y_node", "node", "id", "n", "label", "bits")
+    rows = rows.unionAll(lone.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits"))
     order = ("key", "x_node", "y_node")
     return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long").distinct()
 
 
-def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, bands: int = 24, rows: int = 3, block: int = 512) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each document.
-
-    Two texts link when den * |both| >= num * |either| over their distinct shingles of `width` words;
-    a text of fewer words is one shingle.  Null and wordless texts have no shingles and link with
-    nothing.  A doc_id in several rows stands for its first text in each step; each row is returned.
-    A row without a doc_id joins the component of an equal set that has one, else its component is null.
-    An empty table gives an empty result; columns besides doc_id and text are not read.
-    """
-    sigs = checkpoint(signatures(docs, width, bands, rows))
-    groups = sigs.where("n > 0").groupBy("hi", "lo").agg(F.min_by(F.struct("doc_id", "n", "bands", "bits"), "doc_id").alias("r"))
-    groups = checkpoint(groups.select("hi", "lo", F.col("r.doc_id").alias("id"), "r.n", "r.bands", "r.bits"))
-    entries = groups.select(F.explode("bands").alias("key"), "id", "n")
-    shared = entries.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("id", "n")).alias("p")).where("m > 1").select("key", "p")
-    entries = checkpoint(entries.join(shared, "key"))
-    pairs = entries.where("id <> p.id").where((den * F.least("n", "p.n") >= num * F.greatest("n", "p.n"))).select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
-    links = checkpoint(linked(checkpoint(pairs, narrow=True), docs, width, num, den))
+def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, hi, lo), one for each of docs, and sets (hi, lo, label, component_id)."""
+    sigs = checkpoint(signatures(docs, width, num, den, *frequent_shingles(docs, width, least, most)))
+    # equal sets have equal other columns, so any of them will do
+    groups = sigs.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("first").alias("first"), F.any_value("bits").alias("bits"))
+    groups = checkpoint(groups.select(F.monotonically_increasing_id().alias("id"), "*"))
+    entries = groups.where("doc_id is not null").select(F.explode("first").alias("key"), "id", "n")
+    nodes = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("head")).where("m > 1")
+    entries = checkpoint(entries.join(nodes, "key"))
+    sizes = groups.select(F.col("id").alias("a"), F.col("n").alias("n_a"))
+    pairs = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "n").distinct().join(sizes, "a")
+    pairs = checkpoint(pairs.where((den * F.least("n", "n_a") >= num * F.greatest("n", "n_a"))).select("a", "b"), narrow=True)
+    links = checkpoint(linked(pairs, groups, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links), narrow=True)
-    first = checkpoint(entries.select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
+    # in a node of two, the only pair has been compared
+    first = checkpoint(entries.where("m > 2").select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
     open_keys = checkpoint(first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key"), narrow=True)
-    members = first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id")
-    cross = checkpoint(_cross_pairs(checkpoint(members), block, num, den))
+    members = checkpoint(first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id"))
+    cross = checkpoint(cross_pairs(members, block, num, den).join(pairs, ["a", "b"], "left_anti"), narrow=True)
     if not cross.isEmpty():
-        links = links.union(linked(cross, docs, width, num, den))
-        labels = checkpoint(components(ids, checkpoint(links)), narrow=True)
-    of_set = groups.select("hi", "lo", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "label")
-    out = sigs.select("doc_id", "n", "hi", "lo").join(of_set, ["hi", "lo"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))
+        links = checkpoint(links.union(linked(cross, groups, docs, width, num, den)), narrow=True)
+        labels = checkpoint(components(ids, links), narrow=True)
+    sets = groups.select("hi", "lo", "doc_id", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "doc_id", "label")
+    names = sets.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return sigs.select("doc_id", "n", "hi", "lo"), sets.join(names, "label").select("hi", "lo", "label", "component_id")
+
+
+def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 128, most: int = 1 << 20) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row.
+
+    Two texts link when den * |both| >= num * |either| over their distinct shingles of `width` words;
+    a text of fewer words is one shingle.  Null and wordless texts have no shingles and link with
+    nothing.  Rows are linked each by its own text: a doc_id in several rows with different texts may be in
+    several components, and there is one row for each row given.  A row without a doc_id joins the component of an
+    equal set that has one, else its component is null.  An empty table gives an empty result; columns besides
+    doc_id and text are not read.
+    """
+    rows, sets = classes(docs, width, num, den, block, least, most)
+    out = rows.join(sets, ["hi", "lo"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **kwargs) -> DataFrame:
-    """The rows, with all their columns, but for those whose group has a smaller doc_id, and repeats of a doc_id.
+def one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 128, most: int = 1 << 20) -> DataFrame:
+    """The rows, with all their columns, that their component is named after, one of each.
 
-    Of a doc_id in several rows the one with the least text stays, null first.  Rows without a doc_id can't
-    be told apart or named, and stay.
+    Rows with one doc_id and one set are one document, whose least text stays, null first; where a doc_id has
+    several sets in a component, one of them.  Rows without a doc_id can't be named and stay.
     """
-    found = jaccard_join(docs.where("doc_id is not null"), **kwargs)
-    kept = found.groupBy("doc_id").agg(F.min("component_id").alias("to")).where("to = doc_id").select("doc_id")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    stay = docs.join(kept, "doc_id", "left_semi")
-    if not repeated.where("doc_id is not null").isEmpty():
-        order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-        ranked = stay.select(F.struct("*").alias("row"), F.row_number().over(order).alias("k"))
-        stay = ranked.where("k = 1").select("row.*")
+    rows, sets = classes(docs.where("doc_id is not null"), width, num, den, block, least, most)
+    rows = rows.groupBy("doc_id", "hi", "lo").agg(F.min("n").alias("n"), F.count("*").alias("copies")).join(sets, ["hi", "lo"], "left")
+    linked_rows = rows.where("n > 0 AND doc_id = component_id").groupBy("label", "doc_id").agg(F.min(F.struct("hi", "lo")).alias("s")).select("doc_id", "s.hi", "s.lo")
+    kept = checkpoint(linked_rows.union(rows.where("n = 0").select("doc_id", "hi", "lo")), narrow=True)
+    stay = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+    several = checkpoint(rows.groupBy("doc_id").agg(F.sum("copies").alias("copies")).where("copies > 1").select("doc_id"), narrow=True)
+    if not several.isEmpty():
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                data, at = utf8(batch.column(1))
+                for i, j in blocks(at):
+                    hi, lo = set_names(*shingles(Words(data, at, i, j), width))
+                    yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(hi), pa.array(lo)], names=["doc_id", "text", "row", "hi", "lo"])
+
+        row = F.struct("*").alias("row")
+        again = columns(docs.select(row, "doc_id", "text"), "doc_id", "text", "row").join(several, "doc_id", "left_semi").select("doc_id", "text", "row")
+        kind = again.schema["row"].dataType.simpleString()
+        again = again.mapInArrow(tidied(run), f"doc_id long, text string, row {kind}, hi long, lo long").join(kept, ["doc_id", "hi", "lo"], "left_semi")
+        least_text = F.struct(F.col("text").isNotNull(), F.coalesce("text", F.lit("")))
+        again = again.groupBy("doc_id", "hi", "lo").agg(F.min_by("row", least_text).alias("row")).select("row.*")
+        stay = stay.join(several, "doc_id", "left_anti").select(docs.columns).unionAll(again)
     return stay.unionAll(docs.where("doc_id is null"))
 
 

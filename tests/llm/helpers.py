@@ -76,3 +76,8 @@ def unigram(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, int
     counts = collections.Counter(x for i, ts in tokens.items() if not held(i, 1) for x in ts)
     n, v = sum(counts.values()), len(counts)
     return {i: (len(ts), sum(x in counts for x in ts), n, sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in ts)) for i, ts in tokens.items()}
+
+
+def twins(n: int = 1024, one: str = "a", other: str = "b") -> tuple[str, str]:
+    """Two complementary strings of n letters that polynomial hashes modulo a power of two can't tell apart."""
+    return tuple("".join((x, y)[bin(k).count("1") % 2] for k in range(n)) for x, y in ((one, other), (other, one)))

@@ -7,7 +7,7 @@ import pytest
 
 from tallyforge.llm import decontaminate, jaccard_join
 
-from .helpers import ODD, SF, contamination, jaccard_groups
+from .helpers import ODD, SF, contamination, jaccard_groups, twins
 
 
 def documents(spark, rows):
@@ -33,13 +33,55 @@ def test_jaccard_groups(spark, block):
     assert got == jaccard_groups(rows)
 
 
-def test_jaccard_of_the_test_table(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_jaccard_of_the_test_table(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.op5(spark, SF).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.op5(spark, folder).collect()}
     assert got == jaccard_groups(rows)
 
 
+def test_frequent_shingles_change_no_link(spark):
+    """Nearly all shingles count as frequent, so the order of the first ones is another."""
+    rows = list(enumerate(near_copies(6)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(documents(spark, rows), block=7, least=3).collect()}
+    assert got == jaccard_groups(rows)
+
+
+def test_a_doc_id_with_several_texts(spark):
+    """A row for each row given, each linked by its own text."""
+    near = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, near + " x"), (2, "quite another text of some words"), (2, near), (3, near), (2, near), (4, "quite another text of some words"), (5, None), (5, None)]
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_join(documents(spark, rows)).collect())
+    by_place = jaccard_groups(list(enumerate(t for _, t in rows)))
+    classes = {}
+    for k, (n, c) in by_place.items():
+        classes.setdefault(c, []).append(rows[k][0])
+    assert got == sorted((rows[k][0], n, min(classes[c])) for k, (n, c) in by_place.items())
+    kept = sorted((r["doc_id"], r["text"] or "") for r in jaccard_join.one_of_each(documents(spark, rows)).collect())
+    assert kept == [(1, near + " x"), (2, "quite another text of some words"), (5, "")]
+
+
+def test_strings_that_polynomial_hashes_take_for_one(spark):
+    x, y = twins()
+    rows = [(1, f"{x} {y} {x} {x} {y} {y}"), (2, f"{y} {x} {y} {y} {x} {x}"), (3, f"{x} b c d e f"), (4, f"{y} b c d e f")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(documents(spark, rows)).collect()}
+    assert got == jaccard_groups(rows) and got[1][1] != got[2][1]
+
+
+def test_exact_shingles():
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyforge.llm.common import Words, utf8
+
+    texts = ["a b c d a b c d e", "", "x", "b c d e f", "a b c d"]
+    data, at = utf8(pa.array(texts))
+    doc, code = jaccard_join.exact_shingles(Words(data, at, 0, len(texts)), 4)
+    assert np.bincount(doc, minlength=5).tolist() == [5, 0, 0, 2, 1]
+    assert len({*code}) == 6 and set(code[doc == 4]) < set(code[doc == 0]) and len(set(code[doc == 3]) & set(code[doc == 0])) == 1
+
+
 def test_jaccard_empty_table(spark):
     assert jaccard_join.jaccard_join(documents(spark, [])).count() == 0
 
