@@ -69,6 +69,21 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return h
 
 
+def held_by_worker(name: str, key: object, make: Callable[[], object]) -> object:
+    """make() for this name and key, kept by the worker process for its next tasks; another key replaces it.
+
+    Functions travel by value and share no state, so a module of its own holds what is kept.
+    """
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_held_by_worker", types.ModuleType("_held_by_worker")).__dict__
+    if name not in held or held[name][0] != key:
+        held.pop(name, None)
+        held[name] = (key, make())
+    return held[name][1]
+
+
 class Tally:
     """Counts of 64-bit keys in one task: handed over when more than about `most` distinct ones are held."""
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, columns, documents, ensure_checkpoints, mix, span_hashes, tidied, utf8
+from .common import blocks, columns, documents, eights, ensure_checkpoints, held_by_worker, mix, span_hashes, tidied, utf8
 
 _U = np.uint64
 SHARDS = "part int, seq int, before long, n_ids long, width int, payload binary, offsets binary, keys binary, nulls int, seeds binary, prints binary, records binary"
@@ -30,13 +30,14 @@ _WHITE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 _ALPHA = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256)])
 _MARK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"])
 _TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+_SHORT = 16  # bytes of a piece that its first and last eight and its length tell apart from all others
 
 
 class _Table:
-    """Pieces by hash, ascending, with their place among the pooled ids and how often they were met."""
+    """Pieces of up to 16 bytes by hash, ascending, with all their bytes, their place among the pooled ids and how often they were met."""
 
     def __init__(self):
-        self.hash, self.form = np.zeros(0, np.uint64), np.zeros((0, 3), np.uint64)  # form: first and last bytes, length
+        self.hash, self.form = np.zeros(0, np.uint64), np.zeros((0, 3), np.uint64)  # form: first and last eight bytes, length: the whole piece
         self.off = self.len = self.hits = np.zeros(0, np.int64)
         self._index()
 
@@ -73,20 +74,16 @@ class Encoder:
 
     The library's pre-tokenizer never joins white space and what follows, but for one space before a
     word, nor a letter and a mark after it.  So a text's ids are those of its pieces between such places,
-    and each distinct piece is encoded once, many in a call.  Pieces are told apart by a 64-bit hash,
-    their first and last eight bytes and their length.  About `most` pieces are held; beyond, the half that
-    was met most often stays.  Texts with white space beyond ASCII's or with a special token are encoded whole.
+    and each distinct piece is encoded once, many in a call.  Pieces are equal only where all their bytes are:
+    those of up to 16 bytes lie in tables by hash, longer ones in a dictionary.  About `most` short and
+    `most` / 8 long pieces are held; beyond, the half of the short ones that was met most often stays and the long
+    ones are met anew.  Texts with white space beyond ASCII's or with a special token are encoded whole.
     """
 
     @staticmethod
     def shared(spec: str) -> Encoder:
-        """One for each worker process: workers outlive tasks, but functions sent by value do not, so the library's module holds it."""
-        import tokenizers
-
-        held = vars(tokenizers).setdefault("_shared_encoders", {})
-        if spec not in held:
-            held[spec] = Encoder(spec)
-        return held[spec]
+        """One for each worker process, as workers outlive tasks."""
+        return held_by_worker("encoder", spec, lambda: Encoder(spec))
 
     def __init__(self, spec: str, most: int = 400_000):
         import re
@@ -105,6 +102,7 @@ class Encoder:
         self.most = most
         self.old, self.new = _Table(), _Table()  # pieces join the small table first, so that a block's few don't move all
         self.pool = np.zeros(0, np.uint32)
+        self.far: dict[bytes, np.ndarray] = {}
 
     def _pieces(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         white = _WHITE[data]
@@ -182,38 +180,53 @@ class Encoder:
             return out
         start, end = self._pieces(data, cuts)
         size = end - start
-        wide = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
-        eight = np.ndarray(len(wide) - 7, "<u8", wide.tobytes(), strides=(1,))
+        eight = eights(np.concatenate([np.zeros(8, np.uint8), data]))
         short = np.minimum(size, 8)
         h = span_hashes(data, start, end)
         form = np.stack([eight[start + 8] & _TAIL[short], eight[end] >> ((8 - short) * 8).astype(np.uint64), size.astype(np.uint64)], axis=1)
-        place = self.old.place(h, form)
-        rest = np.flatnonzero(place < 0)
+        kept = np.ones(len(h), bool)  # pieces of texts that are not encoded whole
+        if odd:
+            kept = ~np.isin(np.searchsorted(cuts, start, "right") - 1, list(odd))
+        near = np.flatnonzero(kept & (size <= _SHORT))
+        place = self.old.place(h[near], form[near])
+        rest = near[place < 0]
         late = self.new.place(h[rest], form[rest])
         new = rest[late < 0]
-        if odd:
-            new = new[~np.isin(np.searchsorted(cuts, start[new], "right") - 1, list(odd))]
         if len(new):
             _, first = np.unique(h[new], return_index=True)
             first = new[first]
             self._learn(data, start[first], end[first], h[first], form[first])
             late = self.new.place(h[rest], form[rest])
         off, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-        for table, who, at_ in ((self.old, np.flatnonzero(place >= 0), place[place >= 0]), (self.new, rest[late >= 0], late[late >= 0])):
+        for table, who, at_ in ((self.old, near[place >= 0], place[place >= 0]), (self.new, rest[late >= 0], late[late >= 0])):
             off[who], n[who] = table.off[at_], table.len[at_]
             table.hits += np.bincount(at_, minlength=len(table.hits))
-        place[rest] = late
+        lone = rest[late < 0]  # equal hashes of different pieces
+        pool = self._far(raw, start, end, np.concatenate([np.flatnonzero(kept & (size > _SHORT)), lone]), off, n)
         ends = np.cumsum(n)
-        ids = self.pool[np.repeat(off - ends + n, n) + np.arange(int(ends[-1]))]
+        ids = pool[np.repeat(off - ends + n, n) + np.arange(int(ends[-1]))]
         marks = np.concatenate([[0], ends])[np.searchsorted(start, cuts)]
-        lost = {int(np.searchsorted(cuts, start[k], "right")) - 1 for k in np.flatnonzero(place < 0)} - odd  # equal hashes of different pieces
         for d in range(len(out)):
-            if d in lost:
-                out[d] = np.array(self.tok.encode(raw[cuts[d] : cuts[d + 1]].decode("utf-8"), add_special_tokens=False).ids, np.uint32)
-            elif d not in odd:
+            if d not in odd:
                 out[d] = ids[marks[d] : marks[d + 1]]
         return out
 
+    def _far(self, raw: bytes, start: np.ndarray, end: np.ndarray, who: np.ndarray, off: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The pool with the ids of these pieces behind it; sets their places in off and n."""
+        if not len(who):
+            return self.pool
+        if len(self.far) > self.most // 8:
+            self.far.clear()
+        pieces = [raw[a:b] for a, b in zip(start[who].tolist(), end[who].tolist())]
+        new = [x for x in dict.fromkeys(pieces) if x not in self.far]
+        for x, got in zip(new, self.tok.encode_batch_fast([x.decode("utf-8") for x in new], add_special_tokens=False)):
+            self.far[x] = np.array(got.ids, np.uint32)
+        parts = [self.far[x] for x in pieces]
+        n[who] = [len(x) for x in parts]
+        ends = len(self.pool) + np.cumsum(n[who])
+        off[who] = ends - n[who]
+        return np.concatenate([self.pool, *parts])
+
 
 def _key_hash(keys: np.ndarray, null: np.ndarray | None = None) -> np.ndarray:
     h = mix(keys.astype(np.int64).view(np.uint64) + _U(0x632BE59BD9B4E019))
@@ -294,9 +307,10 @@ class Shard:
 
 
 def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids: int = 1 << 19, partitions: int | None = None) -> None:
-    """Write the ids of each row's text (null: empty), an end id after each, by ascending doc_id (null first, equal ids by text).
+    """Write the ids of each row's text (null: empty), an end id after each, by ascending doc_id (null first, equal ids by the beginning of their text).
 
-    A row with the same doc_id as another has its own record beside it.  An empty table writes no shard.
+    A row with the same doc_id as another has its own record, in the same shard or the next; a doc_id in very many
+    rows, or none, fills as many shards and tasks as its rows need.  An empty table writes no shard.
     """
     spark = docs.sparkSession
     spec_sent = spark.sparkContext.broadcast(spec)  # a vocabulary file, a few MB whatever the corpus
@@ -317,7 +331,7 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids:
             data, at = utf8(batch.column(1))
             for i, j in blocks(at, 1 << 20):
                 for key, ids in zip(batch.column(0).slice(i, j - i).to_pylist(), encoder.encode(data, at[i : j + 1])):
-                    if size >= shard_ids and key != keys[-1]:
+                    if size >= shard_ids:
                         yield shard()
                         seq, before = seq + 1, before + size
                         held, keys, size = [], [], 0
@@ -327,7 +341,9 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int = 0, shard_ids:
         if held:
             yield shard()
 
-    dealt = columns(docs, "doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # the beginning of the text and, where rows are alike, their number split a doc_id with very many rows
+    dealt = columns(docs, "doc_id", "text").withColumns({"head": F.substring("text", 1, 64), "row": F.monotonically_increasing_id()})
+    dealt = dealt.repartitionByRange(n, "doc_id", "head", "row").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     dealt.mapInArrow(tidied(run), SHARDS).write.option("compression", "zstd").parquet(path)
 
 
@@ -364,7 +380,10 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """(doc_id, ids) of the rows of `keys(doc_id)` that the files hold: keys are routed by each shard's range, then looked up."""
+    """(doc_id, ids) of each record whose key is in `keys(doc_id)`, repeated keys' records each; null keys have none.
+
+    Keys meet the shards of their range in cells of equal width, one for each shard, and are then looked up.
+    """
     shards = spark.read.schema(SHARDS).parquet(path)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,8 +393,13 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
             low = [int(x[n]) if n < len(x) else None for x, n in zip(keys, nulls)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(low, pa.int64()), pa.array([int(x[-1]) for x in keys], pa.int64())], names=["part", "seq", "low", "high"])
 
-    ranges = shards.select("part", "seq", "keys", "nulls").mapInArrow(tidied(ends), "part int, seq int, low long, high long")
-    routed = keys.select("doc_id").distinct().join(ranges, (F.col("doc_id") >= F.col("low")) & (F.col("doc_id") <= F.col("high")))
+    ranges = shards.select("part", "seq", "keys", "nulls").mapInArrow(tidied(ends), "part int, seq int, low long, high long").where("low is not null")
+    n, least, most = ranges.agg(F.count("*"), F.min("low"), F.max("high")).first()
+    wide = max(1, -(-((most or 0) - (least or 0) + 1) // max(n, 1)))
+    cell = lambda x: F.floor((F.col(x).cast("decimal(20,0)") - F.lit(least or 0)) / F.lit(wide)).cast("long")
+    ranges = ranges.select("*", F.explode(F.sequence(cell("low"), cell("high"))).alias("cell"))
+    asked = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").between(F.lit(least or 0), F.lit(most or 0))).distinct().select("doc_id", cell("doc_id").alias("cell"))
+    routed = asked.join(ranges, "cell").where("doc_id >= low AND doc_id <= high")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,9 +407,13 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
                 row = {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
                 shard, want = Shard(row), np.array(row["want"], np.int64)
                 at = shard.find(want)
-                ok = (at >= 0) & (shard.keys[np.maximum(at, 0)] == want)
-                ids = [shard.ids[shard.offsets[r] : shard.offsets[r + 1]].astype(np.int64) for r in at[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(want[ok]), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
+                ok = (at >= 0) & (shard.keys[np.maximum(at, 0)] == want) & ~shard.null(at)
+                # a key's records are neighbours
+                runs = np.append(np.flatnonzero(np.diff(shard.keys)) + 1, len(shard.keys))
+                n = runs[np.searchsorted(runs, at[ok], "right")] - at[ok]
+                records = np.repeat(at[ok] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                ids = [shard.ids[shard.offsets[r] : shard.offsets[r + 1]].astype(np.int64) for r in records]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(want[ok], n)), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
     wanted = routed.groupBy("part", "seq").agg(F.collect_list("doc_id").alias("want"))  # a shard's keys at most
     return shards.join(wanted, ["part", "seq"]).select("width", "payload", "offsets", "keys", "nulls", "seeds", "prints", "records", "want").mapInArrow(tidied(look), "doc_id long, ids array<long>")
