@@ -99,6 +99,7 @@ MORE_SENTENCES = {
     53: "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
     54: "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
     55: "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    56: "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License.",
 }
 #: Rules of these sentences, before the others; each needs one of them.
 MORE_RULES = (
@@ -123,6 +124,7 @@ MORE_RULES = (
     ("ISC", (42,)),
     ("ISC", (43,)),
     ("0BSD", (44,)),
+    ("MPL-1.1", (56,)),
     ("MPL-2.0", (45,)),
     ("CC0-1.0", (46,)),
     ("CC0-1.0", (47,)),
@@ -140,6 +142,8 @@ MORE_RULES = (
 BREAK = r"[.!?][ \t\r]+|\n"
 #: A sentence wrapped over lines ends with a mark and white space, or before a line without letters and digits.
 STOP = r"[.!?][ \t\r\n]+|\n[^a-z0-9\n]*(?=\n)"
+#: The mark of an abbreviated "version" before its number ends no sentence.
+VERSION = r"\bv\.[ \t\r\n]+(?=[0-9])"
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -158,7 +162,7 @@ def _pieces(sentences: dict[int, str] = SENTENCES) -> dict[str, int]:
 
     out = {}
     for k, s in sentences.items():
-        parts = [x for x in re.split(BREAK, s) if normal(x)]
+        parts = [x for x in re.split(BREAK, re.sub(VERSION, "v ", s)) if normal(x)]
         out.setdefault(max(map(normal, parts), key=len), k)
     return out
 
@@ -177,7 +181,8 @@ def sentence_ids(text: Column) -> Column:
         seconds.setdefault(x.split()[0], set()).add(x.split()[1])
     # each known sentence's first two words, as a cheap filter before lines are joined
     pairs = "|".join(f"{a}[^a-z0-9]+(?:{'|'.join(sorted(b))})(?![a-z0-9])" for a, b in sorted(seconds.items()))
-    units = F.filter(F.split(F.translate(text, _UPPER, _UPPER.lower()), STOP), lambda u: u.rlike(f"(?:^|\\n)[^a-z0-9\\n]*(?:{pairs})"))
+    plain = F.regexp_replace(F.translate(text, _UPPER, _UPPER.lower()), VERSION, "v ")
+    units = F.filter(F.split(plain, STOP), lambda u: u.rlike(f"(?:^|\\n)[^a-z0-9\\n]*(?:{pairs})"))
 
     def found(lines: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.substring_index(F.element_at(lines, i), " ", 1).isin(*seconds))
@@ -233,7 +238,7 @@ def _sql() -> str:
 WITH known(form, id) AS (VALUES {known}),
 pieces AS (
   SELECT doc_id, generate_subscripts(p, 1) AS k, unnest(p) AS s
-  FROM (SELECT doc_id, regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.!?][ \t\r]+|\n') AS p FROM documents)),
+  FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '\bv\.[ \t\r]+([0-9])', 'v \1', 'g'), '[.!?][ \t\r]+|\n') AS p FROM documents)),
 found AS (SELECT doc_id, k, id FROM (SELECT doc_id, k, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) AS form FROM pieces) JOIN known USING (form)),
 joined AS (SELECT doc_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY k) AS sentences, count(*) AS n FROM found GROUP BY doc_id),
 named AS (
