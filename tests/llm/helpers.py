@@ -45,11 +45,11 @@ def jaccard_groups(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, i
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def contamination(text: str | None, items: list[tuple[int, str | None]]) -> tuple[int, int, list[str]]:
+def contamination(text: str | None, items: list[tuple[int, str | None]], width: int = 10) -> tuple[int, int, list[str]]:
     words, hit, who = ALNUM.findall(lower(text)), set(), set()
     for item, t in items:
         w = ALNUM.findall(lower(t))
-        size = min(10, len(w))
+        size = min(width, len(w))
         for k in range(len(w) - size + 1 if size else 0):
             for at in range(len(words) - size + 1):
                 if words[at : at + size] == w[k : k + size]:

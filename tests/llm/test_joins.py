@@ -101,20 +101,42 @@ def texts():
     return [*ODD, "x one two three four five six seven eight nine ten eleven y", "ONE, two; three four five six seven eight nine ten.", "a short item and a short item", "shortitem", "short  ITEMS", "Ça va très bien", "one two three four five six seven eight nine"]
 
 
-@pytest.mark.parametrize("most_bytes", [32 << 20, 200])
-def test_contamination(spark, most_bytes):
+@pytest.mark.parametrize("most_nodes", [4 << 20, 200])
+def test_contamination(spark, most_nodes):
     benchmark = spark.createDataFrame([*items(), (None, "word")], "item_id long, text string")
     docs = documents(spark, list(enumerate(texts())))
-    got = {r["doc_id"]: r for r in decontaminate.hits(docs, benchmark, 10, most_bytes).collect()}
+    got = {r["doc_id"]: r for r in decontaminate.hits(docs, benchmark, 10, most_nodes).collect()}
     for i, t in enumerate(texts()):
         n, hit, who = contamination(t, items())
         r = got[i]
         assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (n, hit, len(who), hit > 0), t
         assert r["items_sha256"] == hashlib.sha256(",".join(who).encode()).hexdigest()
-    kept = {r["doc_id"] for r in decontaminate.clean(docs, benchmark, 10, most_bytes).collect()}
+    kept = {r["doc_id"] for r in decontaminate.clean(docs, benchmark, 10, most_nodes).collect()}
     assert kept == {i for i, t in enumerate(texts()) if not contamination(t, items())[1]}
 
 
+def test_matches_of_few_words_against_every_window():
+    """Items and texts over three words, so that runs overlap, shift and repeat."""
+    rng = random.Random(8)
+    for _ in range(150):
+        items = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(16)))) for i in range(4)]
+        text = " ".join(rng.choice("abc") for _ in range(rng.randrange(40)))
+        for width in (1, 2, 4, 10):
+            matcher = decontaminate.Matcher(items, width)
+            hit, who = set(), set()
+            for low, high, item in matcher.find(decontaminate.normalise(text.encode()).decode()):
+                hit |= set(range(low // 2, high // 2))
+                who.add(str(item))
+            assert (len(text.split()), len(hit), sorted(who)) == contamination(text, items, width), (items, text, width)
+
+
+def test_the_automaton_of_a_large_benchmark_is_small():
+    rng = random.Random(3)
+    items = [(k, " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60))) for k in range(400)]
+    matcher = decontaminate.Matcher(items, 10)
+    assert matcher.automaton.get_stats()["nodes_count"] < 2 * sum(len(t) for _, t in items)
+
+
 def test_spans_are_places_in_the_original(spark):
     benchmark = spark.createDataFrame(items(), "item_id long, text string")
     text = "é -- A ShOrT,  item!"
