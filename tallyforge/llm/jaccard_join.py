@@ -39,7 +39,9 @@ from .graph import components
 _U = np.uint64
 BITS = 1024
 #: Shingles with lower hashes are counted to find those in many texts; few sets' first ones reach beyond.
-_COUNTED = _U(1 << 62)
+_COUNTED = _U(3 << 60)
+#: High bits of a shingle's hash that name it in counts and in the first level.  Two shingles of one name share a node there, no more.
+_COUNT_BITS, _NODE_BITS = 40, 48
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def set_names(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def frequent_shingles(docs: DataFrame, width: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, of counted shingles in `least` rows or more, and their rank by rows; at most `most`, the most frequent ones.
+    """Names, ascending, of counted shingles in `least` rows or more, and their rank by rows; at most `most`, the most frequent ones.
 
     They are broadcast, 16 bytes each; more would only make first-level nodes smaller.
     """
@@ -85,7 +87,7 @@ def frequent_shingles(docs: DataFrame, width: int, least: int, most: int) -> tup
             data, at = utf8(batch.column(0))
             for i, j in blocks(at):
                 sets = shingles(Words(data, at, i, j), width)[0]
-                yield from tally.add(sets[sets < _COUNTED])
+                yield from tally.add(sets[sets < _COUNTED] >> _U(64 - _COUNT_BITS))
         yield from tally.rest()
 
     counts = columns(docs, "text").mapInArrow(tidied(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -106,8 +108,9 @@ def prefixes(sets: np.ndarray, offsets: np.ndarray, num: int, den: int, names: n
     late = np.zeros(len(sets), np.int64)
     if len(names):
         low = np.flatnonzero(sets < _COUNTED)
-        at = np.minimum(np.searchsorted(names, sets[low]), len(names) - 1)
-        hit = names[at] == sets[low]
+        short = sets[low] >> _U(64 - _COUNT_BITS)
+        at = np.minimum(np.searchsorted(names, short), len(names) - 1)
+        hit = names[at] == short
         late[low[hit]] = rank[at[hit]]
     doc = np.repeat(np.arange(len(n)), n)
     order = np.argsort(doc * (len(names) + 1) + late, kind="stable")  # a set's hashes ascend already
@@ -116,7 +119,7 @@ def prefixes(sets: np.ndarray, offsets: np.ndarray, num: int, den: int, names: n
 
 
 def signatures(docs: DataFrame, width: int, num: int, den: int, names: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """(doc_id, n, hi, lo, first, bits) of each row."""
+    """(doc_id, n, hi, lo, first, bits) of each row; `first` are the names of its first shingles."""
     sent = docs.sparkSession.sparkContext.broadcast((names, rank))  # bounded: see frequent_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +134,7 @@ def signatures(docs: DataFrame, width: int, num: int, den: int, names: np.ndarra
                 bits[np.repeat(np.arange(j - i), n), (sets >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)] = True
                 words = np.packbits(bits, axis=1).view(np.int64).ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(hi), pa.array(lo), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(first.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, BITS // 64), pa.int32()), pa.array(words))],
+                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(hi), pa.array(lo), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array((first >> _U(64 - _NODE_BITS)).astype(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, BITS // 64), pa.int32()), pa.array(words))],
                     names=["doc_id", "n", "hi", "lo", "first", "bits"],
                 )
 
@@ -213,17 +216,48 @@ class SignatureTree:
         return i[keep], j[keep]
 
 
-def named(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, hi, lo, text) of each row with a doc_id."""
+def marks(ids: DataFrame, least: int = 1 << 20, most: int = 1 << 28) -> tuple[np.ndarray, int]:
+    """A bitmap of the doc_ids, by hash, and the bits of its numbers.  It has 16 bits for each and is broadcast: 32 MB at most, beyond which it lets more pass."""
+    n = ids.count()
+    wide = min(most, max(least, 16 * n)).bit_length() - 1
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - wide)
+    pieces = ids.groupBy(F.shiftright(place, 15).alias("piece")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits"))  # 4 KB each
+    out = np.zeros((1 << wide) >> 3, np.uint8)
+    for piece, bits in pieces.toLocalIterator():
+        out[piece << 12 : (piece + 1) << 12] = np.frombuffer(bits, np.uint8)
+    return out, wide
+
+
+def named(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, hi, lo, text) of the rows whose doc_id is one of ids(doc_id), and of few others: only these are hashed and shuffled."""
+    bitmap, wide = marks(ids)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            place = np.asarray(batch.column(2))
+            batch = batch.filter(pa.array((sent.value[place >> 3] >> (place & 7)) & 1 == 1))
             data, at = utf8(batch.column(1))
             for i, j in blocks(at):
                 hi, lo = set_names(*shingles(Words(data, at, i, j), width))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(hi), pa.array(lo), batch.column(1).slice(i, j - i)], names=["doc_id", "hi", "lo", "text"])
 
-    return columns(docs, "doc_id", "text").where("doc_id is not null").mapInArrow(tidied(run), "doc_id long, hi long, lo long, text string")
+    rows = columns(docs, "doc_id", "text").where("doc_id is not null").select("doc_id", "text", F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - wide).alias("place"))
+    return rows.mapInArrow(tidied(run), "doc_id long, hi long, lo long, text string")
+
+
+def set_rows(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n, hi, lo) of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = utf8(batch.column(1))
+            for i, j in blocks(at):
+                sets, offsets = shingles(Words(data, at, i, j), width)
+                hi, lo = set_names(sets, offsets)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(offsets), pa.int64()), pa.array(hi), pa.array(lo)], names=["doc_id", "n", "hi", "lo"])
+
+    return columns(docs, "doc_id", "text").mapInArrow(tidied(run), "doc_id long, n long, hi long, lo long")
 
 
 def exact_shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,42 +283,62 @@ def exact_shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def linked(pairs: DataFrame, groups: DataFrame, docs: DataFrame, width: int, num: int, den: int, together: int = 256) -> DataFrame:
-    """The pairs (a, b) of representatives whose texts meet the threshold, compared word by word.
+    """The pairs (a, b) of representatives whose texts meet the threshold, those that pass compared word by word.
 
     A pair's second text travels to its first one, which has a copy for every `together` partners, so a hot one's are
     many tasks.  Texts of fewer words than `width` differ from every other representative's.
     """
 
+    def alike(data: np.ndarray, at: np.ndarray, who: np.ndarray, head: np.ndarray) -> np.ndarray:
+        """Whether each text of `who` and its head meet the threshold: by hashes first, and those that do word by word."""
+        sets, offsets = shingles(Words(data, at, 0, len(at) - 1), width)
+        likely = []
+        for k in who:
+            p, q = (sets[offsets[x] : offsets[x + 1]] for x in (head[k], k))
+            place = np.minimum(np.searchsorted(p, q), max(len(p) - 1, 0))
+            both = int((p[place] == q).sum()) if len(p) else 0
+            likely.append(both > 0 and den * both >= num * (len(p) + len(q) - both))
+        ok = np.array(likely, bool)
+        who = who[ok]
+        if len(who):
+            texts, place = np.unique(np.concatenate([head[who], who]), return_inverse=True)
+            parts = [data[at[x] : at[x + 1]] for x in texts]
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+            doc, code = exact_shingles(Words(np.concatenate(parts), cuts, 0, len(parts)), width)
+            wide = int(code.max(initial=0)) + 1
+            key = doc * wide + code
+            first = np.searchsorted(doc, np.arange(len(parts) + 1))
+            for i, (x, y) in enumerate(zip(place[: len(who)], place[len(who) :])):
+                p, q = (code[first[z] : first[z + 1]] for z in (x, y))
+                both = int(np.isin(key[first[y] : first[y + 1]] + (x - y) * wide, key[first[x] : first[x + 1]], assume_unique=True).sum())
+                likely_at = np.flatnonzero(ok)[i]
+                likely[likely_at] = both > 0 and den * both >= num * (len(p) + len(q) - both)
+        return np.array(likely, bool)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (a, salt, kind, b, text) in order: a first text, of kind 0, and its partners."""
-        held: tuple[int, bytes] | None = None  # the last first text
+        held: tuple[int, np.ndarray] | None = None  # the last first text
         for batch in batches:
             a, kind, b = (np.asarray(batch.column(k)) for k in (0, 2, 3))
             data, at = utf8(batch.column(4))
             for i, j in blocks(at):
-                own, first = (data[at[i] : at[j]], at[i : j + 1] - at[i]), int(held is not None)
+                own, cuts = data[at[i] : at[j]], at[i : j + 1] - at[i]
                 block_a, block_kind, block_b = a[i:j], kind[i:j], b[i:j]
                 if held is not None:
-                    own = np.concatenate([np.frombuffer(held[1], np.uint8), own[0]]), np.concatenate([[0], own[1] + len(held[1])])
+                    own, cuts = np.concatenate([held[1], own]), np.concatenate([[0], cuts + len(held[1])])
                     block_a, block_kind, block_b = np.append(held[0], block_a), np.append(0, block_kind), np.append(held[0], block_b)
-                n_texts = j - i + first
-                doc, code = exact_shingles(Words(own[0], own[1], 0, n_texts), width)
-                head = np.maximum.accumulate(np.where(block_kind == 0, np.arange(n_texts), 0))
-                if len(code):
-                    wide = int(code.max()) + 1
-                    key, ask = doc * wide + code, head[doc] * wide + code
-                    both = np.bincount(doc, weights=key[np.minimum(np.searchsorted(key, ask), len(key) - 1)] == ask, minlength=n_texts).astype(np.int64)
-                    n = np.bincount(doc, minlength=n_texts)
-                    ok = (block_kind == 1) & (block_a == block_a[head]) & (both > 0) & (den * both >= num * (n + n[head] - both))
-                    yield pa.RecordBatch.from_arrays([pa.array(block_a[ok]), pa.array(block_b[ok])], names=["a", "b"])
+                head = np.maximum.accumulate(np.where(block_kind == 0, np.arange(len(block_a)), 0))
+                who = np.flatnonzero((block_kind == 1) & (block_a == block_a[head]))
+                who = who[alike(own, cuts, who, head)] if len(who) else who
+                yield pa.RecordBatch.from_arrays([pa.array(block_a[who]), pa.array(block_b[who])], names=["a", "b"])
                 k = int(head[-1])
-                held = int(block_a[k]), own[0][own[1][k] : own[1][k + 1]].tobytes()
+                held = int(block_a[k]), own[cuts[k] : cuts[k + 1]].copy()
 
     load = checkpoint(pairs.groupBy("a").agg(F.ceil(F.count("*") / together).cast("int").alias("salts")), narrow=True)
     members = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "b", F.col("b").alias("id"))
     heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("b"), F.col("a").alias("id"))
     uses = checkpoint(members.unionAll(heads).join(groups.select("id", "doc_id", "hi", "lo"), "id").drop("id"))
-    rows = named(docs, width).join(uses, ["doc_id", "hi", "lo"]).select("a", "salt", "kind", "b", "text")
+    rows = named(docs, uses.select("doc_id").distinct(), width).join(uses, ["doc_id", "hi", "lo"]).select("a", "salt", "kind", "b", "text")
     order = ("a", "salt")
     return rows.repartition(*order).sortWithinPartitions(*order, "kind").mapInArrow(tidied(compare), "a long, b long").distinct()
 
@@ -318,18 +372,26 @@ def _dealt(members: DataFrame, block: int) -> DataFrame:
     return parts.join(spans, ["key", "part", "n"], "left").select("key", node.alias("node"), F.col("span").isNotNull().alias("several"), "id", "n", "bits", "label")
 
 
-def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components under a key that may reach the threshold, from members(key, id, n, bits, label)."""
-    dealt = checkpoint(_dealt(members, block))
-    lone, dealt = dealt.where("NOT several"), dealt.where("several")
+def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, node, x_node, y_node): the pairs of nodes of dealt(key, node, n, bits, label) to be visited, a row for each node of a pair."""
     bit = [F.col("bits")[k] for k in _LONGS]
     held = dealt.select("key", "node", "n", "label", sum(map(F.bit_count, bit), F.lit(0)).alias("ones"), *[b.alias(f"b{k}") for k, b in enumerate(bit)])
     nodes = held.groupBy("key", "node").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("c0"), F.max("label").alias("c1"), F.min("ones").alias("least"), *[F.bit_or(f"b{k}").alias(f"b{k}") for k in _LONGS])
     nodes = checkpoint(nodes)
     left, right = (nodes.select("key", *[F.col(c).alias(f"{x}_{c}") for c in nodes.columns if c != "key"]) for x in "xy")
     tasks = left.join(right, "key").where("x_node <= y_node").where(_fits("x", "y", num, den))
-    tasks = tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
+    return tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
+
 
+def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
+    """Pairs of different components under a key that may reach the threshold, from members(key, id, n, bits, label)."""
+    dealt = checkpoint(_dealt(members, block))
+    lone, dealt = dealt.where("NOT several"), dealt.where("several")
+    own = F.lit(0).cast("long")
+    rows = lone.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits")
+    if not dealt.isEmpty():
+        tasks = node_pairs(dealt, num, den)
+        rows = rows.unionAll(tasks.join(dealt, ["key", "node"]).select(rows.columns))
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted rows of many tasks; a task's rows lie together, and only the last one's wait for the next batch."""
         held: list[np.ndarray] | None = None
@@ -359,25 +421,22 @@ def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame
         if held is not None and len(held[0]):
             yield pairs(held)
 
-    own = F.lit(0).cast("long")
-    rows = tasks.join(dealt, ["key", "node"]).select("key", "x_node", "y_node", "node", "id", "n", "label", "bits")
-    rows = rows.unionAll(lone.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits"))
     order = ("key", "x_node", "y_node")
     return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least: int, most: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n, hi, lo), one for each of docs, and sets (hi, lo, label, component_id)."""
-    sigs = checkpoint(signatures(docs, width, num, den, *frequent_shingles(docs, width, least, most)))
+    sigs = signatures(docs, width, num, den, *frequent_shingles(docs, width, least, most))
     # equal sets have equal other columns, so any of them will do
     groups = sigs.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("first").alias("first"), F.any_value("bits").alias("bits"))
     groups = checkpoint(groups.select(F.monotonically_increasing_id().alias("id"), "*"))
-    entries = groups.where("doc_id is not null").select(F.explode("first").alias("key"), "id", "n")
+    entries = groups.where("doc_id is not null").select(F.explode(F.array_distinct("first")).alias("key"), "id")
     nodes = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("head")).where("m > 1")
     entries = checkpoint(entries.join(nodes, "key"))
-    sizes = groups.select(F.col("id").alias("a"), F.col("n").alias("n_a"))
-    pairs = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "n").distinct().join(sizes, "a")
-    pairs = checkpoint(pairs.where((den * F.least("n", "n_a") >= num * F.greatest("n", "n_a"))).select("a", "b"), narrow=True)
+    size = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"))
+    pairs = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct().join(size("a"), "a").join(size("b"), "b")
+    pairs = checkpoint(pairs.where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))).select("a", "b"), narrow=True)
     links = checkpoint(linked(pairs, groups, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links), narrow=True)
@@ -391,7 +450,7 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
         labels = checkpoint(components(ids, links), narrow=True)
     sets = groups.select("hi", "lo", "doc_id", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "doc_id", "label")
     names = sets.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return sigs.select("doc_id", "n", "hi", "lo"), sets.join(names, "label").select("hi", "lo", "label", "component_id")
+    return set_rows(docs, width), sets.join(names, "label").select("hi", "lo", "label", "component_id")
 
 
 def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 128, most: int = 1 << 20) -> DataFrame:
@@ -416,7 +475,7 @@ def one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     several sets in a component, one of them.  Rows without a doc_id can't be named and stay.
     """
     rows, sets = classes(docs.where("doc_id is not null"), width, num, den, block, least, most)
-    rows = rows.groupBy("doc_id", "hi", "lo").agg(F.min("n").alias("n"), F.count("*").alias("copies")).join(sets, ["hi", "lo"], "left")
+    rows = checkpoint(rows.groupBy("doc_id", "hi", "lo").agg(F.min("n").alias("n"), F.count("*").alias("copies")).join(sets, ["hi", "lo"], "left"), narrow=True)
     linked_rows = rows.where("n > 0 AND doc_id = component_id").groupBy("label", "doc_id").agg(F.min(F.struct("hi", "lo")).alias("s")).select("doc_id", "s.hi", "s.lo")
     kept = checkpoint(linked_rows.union(rows.where("n = 0").select("doc_id", "hi", "lo")), narrow=True)
     stay = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
