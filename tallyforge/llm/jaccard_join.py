@@ -216,21 +216,20 @@ class SignatureTree:
         return i[keep], j[keep]
 
 
-def marks(ids: DataFrame, least: int = 1 << 20, most: int = 1 << 28) -> tuple[np.ndarray, int]:
-    """A bitmap of the doc_ids, by hash, and the bits of its numbers.  It has 16 bits for each and is broadcast: 32 MB at most, beyond which it lets more pass."""
-    n = ids.count()
+def marks(ids: DataFrame, n: int, least: int = 1 << 20, most: int = 1 << 28) -> tuple[np.ndarray, int]:
+    """A bitmap of at most n doc_ids, by hash, and the bits of its numbers.  It has 16 bits for each and is broadcast: 32 MB at most, beyond which it lets more pass."""
     wide = min(most, max(least, 16 * n)).bit_length() - 1
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - wide)
     pieces = ids.groupBy(F.shiftright(place, 15).alias("piece")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits"))  # 4 KB each
     out = np.zeros((1 << wide) >> 3, np.uint8)
-    for piece, bits in pieces.toLocalIterator():
+    for piece, bits in pieces.collect():
         out[piece << 12 : (piece + 1) << 12] = np.frombuffer(bits, np.uint8)
     return out, wide
 
 
-def named(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(doc_id, hi, lo, text) of the rows whose doc_id is one of ids(doc_id), and of few others: only these are hashed and shuffled."""
-    bitmap, wide = marks(ids)
+def named(docs: DataFrame, ids: DataFrame, n: int, width: int) -> DataFrame:
+    """(doc_id, hi, lo, text) of the rows whose doc_id is one of ids(doc_id), at most n, and of few others: only these are hashed and shuffled."""
+    bitmap, wide = marks(ids, n)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,8 +281,8 @@ def exact_shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return key // len(names), key % len(names)
 
 
-def linked(pairs: DataFrame, groups: DataFrame, docs: DataFrame, width: int, num: int, den: int, together: int = 256) -> DataFrame:
-    """The pairs (a, b) of representatives whose texts meet the threshold, those that pass compared word by word.
+def linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int, together: int = 256) -> DataFrame:
+    """The pairs (a, b) of representatives, of pairs(a, b, text_a, text_b) with struct(doc_id, hi, lo) for each text, whose texts meet the threshold, those that pass compared word by word.
 
     A pair's second text travels to its first one, which has a copy for every `together` partners, so a hot one's are
     many tasks.  Texts of fewer words than `width` differ from every other representative's.
@@ -334,11 +333,11 @@ def linked(pairs: DataFrame, groups: DataFrame, docs: DataFrame, width: int, num
                 k = int(head[-1])
                 held = int(block_a[k]), own[cuts[k] : cuts[k + 1]].copy()
 
-    load = checkpoint(pairs.groupBy("a").agg(F.ceil(F.count("*") / together).cast("int").alias("salts")), narrow=True)
-    members = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "b", F.col("b").alias("id"))
-    heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("b"), F.col("a").alias("id"))
-    uses = checkpoint(members.unionAll(heads).join(groups.select("id", "doc_id", "hi", "lo"), "id").drop("id"))
-    rows = named(docs, uses.select("doc_id").distinct(), width).join(uses, ["doc_id", "hi", "lo"]).select("a", "salt", "kind", "b", "text")
+    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / together).cast("int").alias("salts"), F.any_value("text_a").alias("text"))
+    members = pairs.join(load.drop("text"), "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "b", "text_b.*")
+    heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("b"), "text.*")
+    ids = pairs.select(F.explode(F.array("text_a.doc_id", "text_b.doc_id")).alias("doc_id"))
+    rows = named(docs, ids, 2 * pairs.count(), width).join(members.unionAll(heads), ["doc_id", "hi", "lo"]).select("a", "salt", "kind", "b", "text")
     order = ("a", "salt")
     return rows.repartition(*order).sortWithinPartitions(*order, "kind").mapInArrow(tidied(compare), "a long, b long").distinct()
 
@@ -356,20 +355,19 @@ def _fits(x: str, y: str, num: int, den: int) -> Column:
     return ~one & sizes & ((den + num) * F.least(*most) >= num * (c(f"{x}_low") + c(f"{y}_low")))
 
 
-def _dealt(members: DataFrame, block: int) -> DataFrame:
-    """members(key, id, n, bits, label) with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
-    large = checkpoint(members.groupBy("key").count().where(F.col("count") > block).select("key"), narrow=True)
-    of_large = members.join(large, "key").groupBy("key", "label", "n").agg(F.count("*").alias("m"))
+def _dealt(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
+    """The members(key, id, n, bits, label) of keys with more than `block`, with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
+    members = members.join(large, "key")
+    of_large = members.groupBy("key", "label", "n").agg(F.count("*").alias("m"))
     of_large = checkpoint(of_large, narrow=True)
     own = of_large.groupBy("key", "label").agg(F.sum("m").alias("all")).where(F.col("all") > block).select("key", "label", F.col("label").alias("part"))
-    own = checkpoint(own, narrow=True)
     sizes = of_large.join(own, ["key", "label"], "left").groupBy("key", "part", "n").agg(F.sum("m").alias("m"))
     before = Window.partitionBy("key", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)  # one row for each size
     spans = sizes.select("key", "part", "n", F.floor(F.coalesce(F.sum("m").over(before), F.lit(0)) / block).alias("span"), F.ceil(F.col("m") / block).alias("split"))
     spans = checkpoint(spans.withColumn("part", F.coalesce("part", F.lit(-1))), narrow=True)
     parts = members.join(own, ["key", "label"], "left").withColumn("part", F.coalesce("part", F.lit(-1)))  # a component's label is 0 or more
-    node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id"), F.col("split")))  # null under a key of one node
-    return parts.join(spans, ["key", "part", "n"], "left").select("key", node.alias("node"), F.col("span").isNotNull().alias("several"), "id", "n", "bits", "label")
+    node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id"), F.col("split")))
+    return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "bits", "label")
 
 
 def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
@@ -385,13 +383,15 @@ def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
 
 def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
     """Pairs of different components under a key that may reach the threshold, from members(key, id, n, bits, label)."""
-    dealt = checkpoint(_dealt(members, block))
-    lone, dealt = dealt.where("NOT several"), dealt.where("several")
     own = F.lit(0).cast("long")
-    rows = lone.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits")
-    if not dealt.isEmpty():
+    rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits")
+    large = members.groupBy("key").count().where(F.col("count") > block).select("key")
+    if not large.isEmpty():
+        large = checkpoint(large, narrow=True)
+        dealt = checkpoint(_dealt(members, large, block))
         tasks = node_pairs(dealt, num, den)
-        rows = rows.unionAll(tasks.join(dealt, ["key", "node"]).select(rows.columns))
+        rows = rows.join(large, "key", "left_anti").select(rows.columns).unionAll(tasks.join(dealt, ["key", "node"]).select(rows.columns))
+
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted rows of many tasks; a task's rows lie together, and only the last one's wait for the next batch."""
         held: list[np.ndarray] | None = None
@@ -434,20 +434,26 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     entries = groups.where("doc_id is not null").select(F.explode(F.array_distinct("first")).alias("key"), "id")
     nodes = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("head")).where("m > 1")
     entries = checkpoint(entries.join(nodes, "key"))
-    size = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"))
-    pairs = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct().join(size("a"), "a").join(size("b"), "b")
-    pairs = checkpoint(pairs.where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))).select("a", "b"), narrow=True)
-    links = checkpoint(linked(pairs, groups, docs, width, num, den), narrow=True)
+    side = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.struct("doc_id", "hi", "lo").alias(f"text_{x}"))
+    of_texts = lambda found: found.join(side("a"), "a").join(side("b"), "b")
+    pairs = of_texts(entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
+    pairs = checkpoint(pairs.where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))).select("a", "b", "text_a", "text_b"), narrow=True)
+    links = checkpoint(linked(pairs, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links), narrow=True)
     # in a node of two, the only pair has been compared
     first = checkpoint(entries.where("m > 2").select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
-    open_keys = checkpoint(first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key"), narrow=True)
+    open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
     members = checkpoint(first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id"))
-    cross = checkpoint(cross_pairs(members, block, num, den).join(pairs, ["a", "b"], "left_anti"), narrow=True)
+    cross = cross_pairs(members, block, num, den).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    cross = checkpoint(of_texts(cross).select("a", "b", "text_a", "text_b"), narrow=True)
     if not cross.isEmpty():
-        links = checkpoint(links.union(linked(cross, groups, docs, width, num, den)), narrow=True)
-        labels = checkpoint(components(ids, links), narrow=True)
+        # what is new are links of whole components
+        more = checkpoint(linked(cross, docs, width, num, den), narrow=True)
+        to = lambda x: labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
+        between = more.join(to("a"), "a").join(to("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        merged = components(labels.select(F.col("label").alias("v")).distinct(), between).select(F.col("v").alias("label"), F.col("label").alias("to"))
+        labels = checkpoint(labels.join(merged, "label").select("v", F.col("to").alias("label")), narrow=True)
     sets = groups.select("hi", "lo", "doc_id", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "doc_id", "label")
     names = sets.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return set_rows(docs, width), sets.join(names, "label").select("hi", "lo", "label", "component_id")
