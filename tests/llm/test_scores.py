@@ -1,12 +1,15 @@
 """Quality rules, the classifier, language identification and LM scoring."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyforge.llm import language_id, lm_score, quality_classifier, quality_rules
+from tallyforge.llm.common import Words, utf8
 from tallyforge.llm.quality_classifier import pool_adjacent
+from tallyforge.llm.statistics import FEATURES, of_block
 
-from .helpers import ODD, SF, held, rule_counts, unigram
+from .helpers import ODD, SF, held, lower, rule_counts, twins, unigram
 
 SF1 = "/root/testdata/sf0.01"
 
@@ -20,7 +23,8 @@ def labels(spark, rows):
 
 
 def test_rule_counts(spark):
-    own = [*ODD, "a b c a b c", "l1\nl1\n\nl1 \nl2", "# $ %%", "p q r s p q r\np q r"]
+    x, y = twins()
+    own = [*ODD, f"{x}\n{y}\n{x}", f"{x} {y} {x} {y} {x} {x} {y}", "a b c a b c", "l1\nl1\n\nl1 \nl2", "# $ %%", "p q r s p q r\np q r"]
     rows = [(i, t) for i, t in enumerate(own)] + [(r["doc_id"] + 1000, r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = quality_rules.quality_rules(documents(spark, rows), labels(spark, [])).collect()
     assert len(got) == len(rows)
@@ -38,6 +42,47 @@ def test_rules_keep_clean_and_drop_junk(spark):
     assert junk <= 0.02 and clean >= 0.98
 
 
+def features_of(rows):
+    data, at = utf8(pa.array([t for _, t in rows]))
+    return of_block(data, at, 0, len(rows))
+
+
+def test_rules_against_brute_force(spark):
+    """Paths walked node by node, and every threshold tried."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF1}/documents.parquet").collect()]
+    marks = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF1}/labels.parquet").collect()}
+    base, f = features_of(rows)
+    failed = [b[0] < 50 or 100 * b[4] > 50 * b[0] for b in base]
+    judged = sorted((rows[k][0], int(base[k][0]), f[k].tolist(), marks[rows[k][0]]) for k in range(len(rows)) if not failed[k] and rows[k][0] in marks)
+    forests = quality_rules.grow(np.array([x[2] for x in judged]), 40, 256, 7)
+
+    def score(where, forest, x):
+        total = 0.0
+        for column, value, child, path in zip(forest.column, forest.value, forest.child, forest.path):
+            at = 0
+            while column[at] >= 0:
+                at = child[at] + int(x[where][column[at]] > value[at])
+            total += path[at]
+        return 2.0 ** (-total / len(forest.column) / forest.norm)
+
+    over, left = [False] * len(rows), judged
+    for where, forest in forests:
+        own = [(int(score(where, forest, np.array(x[2])) * quality_rules.BINS), x) for x in left]
+        bad, good = [b for b, x in own if x[3] == 0], [b for b, x in own if x[3] == 1]
+        best, limit = 0.0, None
+        for k in sorted({b for b, _ in own}):
+            gain = sum(b >= k for b in bad) / len(bad) - 100 * sum(b >= k for b in good) / len(good) if bad else 0
+            if gain > best + 1e-12:
+                below = [b for b, _ in own if b < k]
+                best, limit = gain, (k + (max(below) + 1 if below else k)) / 2 / quality_rules.BINS
+        if limit is not None:
+            over = [o or score(where, forest, x) >= limit for o, x in zip(over, f)]
+            left = [x for b, x in own if not (x[3] == 0 and score(where, forest, np.array(x[2])) >= limit)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.op3(spark, SF1).collect()}
+    assert got == {i: not bad and not o for (i, _), bad, o in zip(rows, failed, over)}
+    assert 0 < sum(over)
+
+
 def test_rules_on_an_empty_table(spark):
     assert quality_rules.quality_rules(documents(spark, []), labels(spark, [(1, 1)])).count() == 0
 
@@ -64,6 +109,33 @@ def test_classifier_held_out(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got)
 
 
+def test_classifier_against_brute_force(spark):
+    """Ridge by least squares over all rows at once, and isotonic shares by the greatest of the least means."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF1}/documents.parquet").collect()]
+    marks = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF1}/labels.parquet").collect()}
+    _, f = features_of(rows)
+    known = [k for k, (i, _) in enumerate(rows) if i in marks and not held(i, 0)]
+    x, y = f[known], np.array([float(marks[rows[k][0]]) for k in known])
+    rng, m, d, bins = np.random.default_rng(11), len(FEATURES), 161, 2048
+    w, b = rng.normal(size=(m, 160)) / 4.0, rng.uniform(0, 2 * np.pi, 160)
+    wide = np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+
+    def mapped(z):
+        return np.column_stack([np.sqrt(2 / 160) * np.cos(np.clip((z - x.mean(0)) / wide, -6, 6) @ w + b), np.ones(len(z))])
+
+    z = mapped(x)
+    weight = np.sqrt(1e-3 * len(y) / d)  # a row for each coefficient
+    beta = np.linalg.lstsq(np.vstack([z, weight * np.eye(d)]), np.concatenate([y, np.zeros(d)]), rcond=None)[0]
+    at = np.clip(((z @ beta + 0.5) / 2 * bins).astype(int), 0, bins - 1)
+    full = sorted(set(at))
+    n, p = np.array([(at == k).sum() for k in full]), np.array([y[at == k].sum() for k in full])
+    shares = [max(min(p[i : j + 1].sum() / n[i : j + 1].sum() for j in range(k, len(full))) for i in range(k + 1)) for k in range(len(full))]
+    want = np.interp(mapped(f) @ beta, [-0.5 + (k + 0.5) * 2 / bins for k in full], shares)
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.op6(spark, SF1).collect()}
+    off = np.abs(np.array([got[i] for i, _ in rows]) - want)
+    assert np.quantile(off, 0.99) < 1e-6 and off.max() < 0.05  # a raw score on a bin's border may fall to the other side
+
+
 def test_classifier_takes_odd_texts(spark):
     rows = list(enumerate(ODD)) + [(3, "again"), (None, "no id")]
     marks = labels(spark, [(i, i % 2) for i in range(len(ODD))] + [(2, None), (999, 1)])
@@ -163,11 +235,13 @@ def test_code_lengths_are_exact():
     assert got == pytest.approx([want["a"], want["b"]], rel=1e-5)
 
 
-@pytest.mark.parametrize("n_sent", [1 << 18, 200])
-def test_lm_base_scores(spark, n_sent):
-    rows = [(i, t) for i, t in enumerate(ODD)] + [(r["doc_id"] + 1000, r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+@pytest.mark.parametrize("options", [{}, {"words_for_token": 1.0, "n_sent": 100}])
+def test_lm_base_scores(spark, options):
+    x, y = twins()
+    own = [*ODD, x, f"{y} {x} {x}", f"{x}z {y}z", f"{y}z"]
+    rows = [(i, t) for i, t in enumerate(own)] + [(r["doc_id"] + 1000, r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = unigram(rows)
-    got = lm_score.lm_score(documents(spark, rows), n_sent=n_sent).collect()
+    got = lm_score.lm_score(documents(spark, rows), **options, least_tokens=1).collect()
     assert len(got) == len(rows)
     for r in got:
         n, known, total, base = want[r["doc_id"]]
@@ -176,18 +250,83 @@ def test_lm_base_scores(spark, n_sent):
         assert r["score"] < 0
 
 
-def test_lm_beats_the_unigram_on_held_out_texts(spark):
-    got = lm_score.op2(spark, SF1).where("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b", "sum(n_tokens) AS n").first()
-    assert (got["s"] - got["b"]) / got["n"] > 0.2  # in log10 for each token
+def test_lm_scores_against_brute_force(spark):
+    """Every token's probability from the model's tables, one at a time: its group among all groups, its unit in the group, its share of a class."""
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(r["doc_id"] + 1000, r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    docs = documents(spark, rows)
+    fitted = lm_score.fit(docs.where("crc32(CAST(doc_id AS STRING)) % 5 <> 1").select("doc_id", "text"), words_for_token=3.0, least_tokens=1)
+    got = {r["doc_id"]: r["score"] for r in lm_score.lm_score(docs, fitted).collect()}
+    m = fitted.model
+    counts = {r["key"]: r["n"] for r in fitted.counts.collect()}
+    unit_of = dict(zip(fitted.vocab.names.tolist(), fitted.vocab.unit.tolist()))
+    end = int(fitted.vocab.of_class[lm_score.CLASSES])
+    groups = list(zip(m.cuts[:-1], m.cuts[1:]))
+
+    def softmax(vector, table, which):
+        scores = [float(np.dot(vector, row[:-1]) + row[-1]) for row in table.astype(float)]
+        top = max(scores)
+        return np.exp(scores[which] - top) / sum(np.exp(x - top) for x in scores)
+
+    for i, t in rows:
+        if not i < 1030 or i in (8,):  # the longest is left out
+            continue
+        data, at = utf8(pa.array([lower(t)]))
+        keys = [*lm_score.keys(Words(data, at, 0, 1)).tolist(), lm_score.END]
+        classes = fitted.vocab.of_class
+        units = [unit_of.get(k, int(classes[min(k & 127, lm_score.CLASSES)])) for k in keys]
+        total = 0.0
+        for at_, (k, u) in enumerate(zip(keys, units)):
+            before = [units[at_ - p] if at_ >= p else end for p in range(1, lm_score.POSITIONS + 1)]
+            vector = sum(m.context[b].astype(float) * m.place[p] for p, b in enumerate(before))
+            g = next(j for j, (low, high) in enumerate(groups) if low <= u < high)
+            low, high = groups[g]
+            chance = softmax(vector, m.group, g) * softmax(vector, m.unit[low:high], u - low)
+            if fitted.is_class[u]:
+                of_class = [n for key, n in counts.items() if key & 127 == k & 127 and unit_of.get(key, u) == u]
+                chance *= (counts.get(k, 0) + 0.5) / (sum(of_class) + 0.5 * (len(of_class) + 1))
+            total += np.log10(chance)
+        assert got[i] == pytest.approx(total, rel=1e-3), (i, t)
 
 
-def test_lm_probabilities_sum_to_one():
-    rng = np.random.default_rng(2)
-    pairs = rng.poisson(3, (20, 20)).astype(float)
-    model = lm_score.train(pairs, rounds=300)
-    assert np.power(10.0, model.astype(float)).sum(1) == pytest.approx(np.ones(20), abs=1e-5)
-    uniform = np.log10(pairs.sum(0) / pairs.sum())
-    assert (pairs * model).sum() > (pairs * uniform).sum()  # better than the unigram on what it learned
+def test_lm_beats_the_unigram_on_held_out_texts(spark):
+    got = lm_score.op2(spark, SF1).where("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b", "sum(n_tokens) AS n").first()
+    assert (got["s"] - got["b"]) / got["n"] > 0.3  # in log10 for each token
+
+
+def chain(n_units: int, n: int, seed: int):
+    """Tokens, each of which follows from one of the two before it for the most part, and their contexts."""
+    rng = np.random.default_rng(seed)
+    unit = np.zeros(n, np.int64)
+    for t in range(2, n):
+        r = rng.random()
+        unit[t] = (unit[t - 1] + 1) % n_units if r < 0.5 else (unit[t - 2] + 7) % n_units if r < 0.8 else rng.integers(n_units)
+    order = np.argsort(-np.bincount(unit, minlength=n_units), kind="stable")
+    unit = np.argsort(order)[unit]  # units are numbered by falling counts
+    words = lm_score.Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(lm_score.CLASSES + 1, np.int64))
+    return unit, words.contexts(unit, np.array([0, n]))
+
+
+def test_lm_probabilities_sum_to_one_and_training_helps():
+    unit, before = chain(30, 40_000, 2)
+    model = lm_score.Model.start(np.bincount(unit, minlength=30).astype(float), 16, 1)
+    trainer = lm_score.Trainer(model, {k: np.full(len(getattr(model, k)), 1e-2, np.float32) for k in lm_score.Model.TABLES}, 0.1, 24, 5)
+    bias = model.log_probabilities(before, unit).mean()
+    trainer.learn(before, unit, 6, size=1024)
+    trained = trainer.model
+    for row in before[5:9]:
+        chances = 10.0 ** trained.log_probabilities(np.tile(row, (30, 1)), np.arange(30))
+        assert chances.sum() == pytest.approx(1, abs=1e-5) and chances.min() > 0
+    assert trained.log_probabilities(before, unit).mean() > bias + 0.2
+    assert not np.array_equal(model.context, trained.context) and model.place.shape == (lm_score.POSITIONS, 16)
+
+
+def test_lm_contexts_stop_where_a_text_begins():
+    words = lm_score.Vocabulary(*(np.zeros(0, np.int64) for _ in range(3)), np.full(lm_score.CLASSES + 1, 9))
+    unit, first = np.array([1, 2, 9, 9, 3, 4, 5, 6, 9]), np.array([0, 3, 4, 9])
+    got = words.contexts(unit, first)
+    for d in range(3):
+        for t in range(first[d], first[d + 1]):
+            assert got[t].tolist() == [unit[t - p] if t - p >= first[d] else 9 for p in (1, 2, 3)]
 
 
 def test_lm_without_training_rows(spark):

@@ -91,6 +91,60 @@ def test_odd_pages(spark):
     assert texts_of(spark, []) == {}
 
 
+def test_main_text_against_a_plain_reading(spark):
+    """The test table's pages through the standard library's parser: the blocks of the article, but for those of class `ad`."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open, self.blocks, self.now, self.opaque = [], [], "", 0
+
+        def end_block(self):
+            if self.now.split() and "article" in self.open and not any(t in ("nav", "footer", "aside", "ad") for t in self.open):
+                self.blocks.append(" ".join(self.now.split()))
+            self.now = ""
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style", "title"):
+                self.opaque += 1
+            if tag == "br":
+                self.now += " "
+            elif tag not in ("a", "b", "meta", "i", "em", "span", "strong"):
+                self.end_block()
+                if tag == "p" and self.open and self.open[-1] == "p":
+                    self.open.pop()
+                self.open.append("ad" if ("class", "ad") in attrs else tag)
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "title"):
+                self.opaque -= 1
+            if tag in ("a", "b", "i", "em", "span", "strong"):
+                return
+            self.end_block()
+            names = [tag, "ad"] if tag == "div" else [tag]
+            if any(t in names for t in self.open):
+                while self.open.pop() not in names:
+                    pass
+
+        def handle_data(self, data):
+            if not self.opaque:
+                self.now += data
+
+    def plain(source):
+        reader = Reader()
+        reader.feed(source or "")
+        reader.close()
+        reader.end_block()
+        return "\n\n".join(reader.blocks)
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_text.op4(spark, SF).collect()}
+    assert set(got) == set(pages)
+    for k, source in pages.items():
+        assert got[k] == (plain(source), len(plain(source)))
+
+
 def test_names_that_only_hold_a_word_of_furniture(spark):
     keep = ["side-effects", "tags-explained", "commentary", "advice", "share-price", "notice-of-meeting", "headers-and-footers"]
     drop = ["ad", "ad-slot-3", "site-header", "cookie-notice", "comments_list", "related-posts", "x sidebar y", "Share-Buttons"]
