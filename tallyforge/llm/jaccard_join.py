@@ -11,14 +11,17 @@ of different shingles need no visit, whatever their members, as every pair that
 meets in one.  No pair is missed.  The order only decides how large the nodes are: shingles in many texts
 come last, by their number of texts, the rest by hash.
 
-Within a first-level node:
+Within a first-level node, in this order:
 
-1. each member is compared with the node's first one, and the links found are merged into components;
-2. nodes that still hold several components are searched completely: members are dealt to nodes of `block` by
+1. members that share many nodes with the node's first member are compared with it, and the links found are merged
+   into components.  This only saves work: pairs of one component need no visit later.
+2. Nodes that still hold several components are searched completely: members are dealt to nodes of `block` by
    size (large components to nodes of their own), and below these stands a signature tree.  All nodes hold
    the OR of their members' token bitmaps, their size range and their component if it is one.  A dual
    traversal leaves a pair of nodes out when both lie in one component, when the sizes exclude the
    threshold, or when the greatest possible overlap, seen from the bits that the other lacks, is too small.
+3. A pair found in c first-level nodes shares c shingles among both sides' first ones, and beyond the first ones of
+   one side only that side's other shingles can be shared; where these are too few, the pair goes.
 
 Pairs that survive are verified on whole texts, word by word, so links don't rest on hashes.  Nothing is
 capped: pairs of the nodes of a large first-level node are separate tasks.
@@ -382,7 +385,7 @@ def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components under a key that may reach the threshold, from members(key, id, n, bits, label)."""
+    """Pairs of different components under a key that may reach the threshold, a row for each key, from members(key, id, n, bits, label)."""
     own = F.lit(0).cast("long")
     rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits")
     large = members.groupBy("key").count().where(F.col("count") > block).select("key")
@@ -422,7 +425,7 @@ def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame
             yield pairs(held)
 
     order = ("key", "x_node", "y_node")
-    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long").distinct()
+    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long")
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least: int, most: int) -> tuple[DataFrame, DataFrame]:
@@ -430,28 +433,38 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     sigs = signatures(docs, width, num, den, *frequent_shingles(docs, width, least, most))
     # equal sets have equal other columns, so any of them will do
     groups = sigs.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("first").alias("first"), F.any_value("bits").alias("bits"))
-    groups = checkpoint(groups.select(F.monotonically_increasing_id().alias("id"), "*"))
-    entries = groups.where("doc_id is not null").select(F.explode(F.array_distinct("first")).alias("key"), "id")
+    groups = groups.select(F.monotonically_increasing_id().alias("id"), "hi", "lo", "doc_id", "n", F.array_distinct("first").alias("first"), (F.size("first") - F.size(F.array_distinct("first"))).alias("lost"), "bits")
+    groups = checkpoint(groups)
+    entries = groups.where("doc_id is not null").select(F.explode("first").alias("key"), "id")
     nodes = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("head")).where("m > 1")
     entries = checkpoint(entries.join(nodes, "key"))
-    side = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.struct("doc_id", "hi", "lo").alias(f"text_{x}"))
-    of_texts = lambda found: found.join(side("a"), "a").join(side("b"), "b")
-    pairs = of_texts(entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
-    pairs = checkpoint(pairs.where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))).select("a", "b", "text_a", "text_b"), narrow=True)
-    links = checkpoint(linked(pairs, docs, width, num, den), narrow=True)
+    firsts = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "m")
+
+    def likely(found: DataFrame) -> DataFrame:
+        """(a, b, text_a, text_b) of the pairs (a, b), a row for each node that holds both, that may reach the threshold."""
+        side = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("lost").alias(f"lost_{x}"), F.struct("doc_id", "hi", "lo").alias(f"text_{x}"))
+        both = found.groupBy("a", "b").agg(F.count("*").alias("c")).join(side("a"), "a").join(side("b"), "b")
+        n = F.col("n_a") + F.col("n_b")
+        rest = lambda x: F.ceil(num * F.col(x) / den) - 1  # noqa: E731  shingles that are not among the first ones
+        need = F.ceil(num * n / (den + num)) - F.greatest(rest("n_a"), rest("n_b")) - F.greatest("lost_a", "lost_b")
+        fits = den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")
+        return both.where(fits & (F.col("c") >= need)).select("a", "b", "text_a", "text_b")
+
+    seeds = checkpoint(likely(firsts.where("m > 2")), narrow=True)
+    links = checkpoint(linked(seeds, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links), narrow=True)
-    # in a node of two, the only pair has been compared
+    label = lambda x: labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
     first = checkpoint(entries.where("m > 2").select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
     open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
     members = checkpoint(first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id"))
-    cross = cross_pairs(members, block, num, den).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    cross = checkpoint(of_texts(cross).select("a", "b", "text_a", "text_b"), narrow=True)
-    if not cross.isEmpty():
+    found = cross_pairs(members, block, num, den).unionAll(firsts.where("m = 2").select("a", "b"))
+    pairs = likely(found).join(seeds.select("a", "b"), ["a", "b"], "left_anti").join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b")
+    pairs = checkpoint(pairs.select("a", "b", "text_a", "text_b"), narrow=True)
+    if not pairs.isEmpty():
         # what is new are links of whole components
-        more = checkpoint(linked(cross, docs, width, num, den), narrow=True)
-        to = lambda x: labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
-        between = more.join(to("a"), "a").join(to("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        more = checkpoint(linked(pairs, docs, width, num, den), narrow=True)
+        between = more.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
         merged = components(labels.select(F.col("label").alias("v")).distinct(), between).select(F.col("v").alias("label"), F.col("label").alias("to"))
         labels = checkpoint(labels.join(merged, "label").select("v", F.col("to").alias("label")), narrow=True)
     sets = groups.select("hi", "lo", "doc_id", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "doc_id", "label")
@@ -459,7 +472,7 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     return set_rows(docs, width), sets.join(names, "label").select("hi", "lo", "label", "component_id")
 
 
-def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 128, most: int = 1 << 20) -> DataFrame:
+def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 32, most: int = 1 << 20) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row.
 
     Two texts link when den * |both| >= num * |either| over their distinct shingles of `width` words;
@@ -474,7 +487,7 @@ def jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100,
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 128, most: int = 1 << 20) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 512, least: int = 32, most: int = 1 << 20) -> DataFrame:
     """The rows, with all their columns, that their component is named after, one of each.
 
     Rows with one doc_id and one set are one document, whose least text stays, null first; where a doc_id has
