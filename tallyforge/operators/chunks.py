@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as T
@@ -30,27 +30,41 @@ def positions(documents: DataFrame, patterns: dict[str, str], *keys: str, flags:
     return rows.select(*keys, "m.*", "length")
 
 
+#: Patterns of contents regions, and of where a section may end.
+_CONTENTS = {"item": r"Item\s+\d+[A-Z]?\s*[\.\s]{2,}", "head": r"TABLE\s+OF\s+CONTENTS", "next": r"\n\s*(PART\s+I[^V]|ITEM\s+1[^0-9A-Z])"}
+_STOP = {"stop": r"\n\s*(ITEM\s+\d+[A-Z]?|NOTE\s+\d+\s*[-–—])"}
+
+
 def contents_regions(documents: DataFrame, *keys: str) -> DataFrame:
-    """(keys, start, end): five `Item n` within 2000 characters, 500 wider, and the block from TABLE OF CONTENTS to the first part or item."""
-    items = positions(documents, {"item": r"Item\s+\d+[A-Z]?\s*[\.\s]{2,}"}, *keys)
-    dense = W.dense_runs(items, 5, 2000, 500, *keys)
-    heads = positions(documents, {"head": r"TABLE\s+OF\s+CONTENTS"}, *keys).groupBy(*keys).agg(F.min(F.struct("start", "end")).alias("h"))
-    nexts = positions(documents, {"next": r"\n\s*(PART\s+I[^V]|ITEM\s+1[^0-9A-Z])"}, *keys)
-    block = nexts.join(heads, list(keys)).where("start >= h.end").groupBy(*keys).agg(F.min("h.start").alias("s"), F.min("start").alias("end")).select(*keys, F.col("s").alias("start"), "end")
-    return W.merge_intervals(dense.unionByName(block), *keys)
+    """(keys, start, end): five `Item n` within 2000 characters, 500 wider, and the block from TABLE OF CONTENTS to the first part or item.
+
+    Texts are read once for all patterns; what follows works on the matches.
+    """
+    at = positions(documents, _CONTENTS, *keys)
+    name, near = F.col("name"), Window.partitionBy(*keys)
+    at = at.withColumn("_dense", F.when(name == "item", W.run_end(5, 2000, *keys, "name"))).withColumn("_head", F.min(F.when(name == "head", F.struct("start", "end"))).over(near))
+    stop = F.min(F.when((name == "next") & (F.col("start") >= F.col("_head.end")), F.col("start"))).over(near)
+    at = at.withColumn("_next", F.when((name == "head") & (F.col("start") == F.col("_head.start")), stop))
+    start = F.when(F.col("_dense").isNotNull(), F.greatest(F.col("start") - 500, F.lit(0))).otherwise(F.col("start"))
+    end = F.coalesce(F.least(F.col("_dense") + 500, F.when(F.col("_dense").isNotNull(), F.col("length"))), F.col("_next"))
+    return W.merge_intervals(at.select(*keys, start.alias("start"), end.alias("end")).where("end IS NOT NULL"), *keys)
 
 
 def sections(documents: DataFrame, regions: DataFrame, *keys: str) -> DataFrame:
-    """(keys, section, start, end): each section's first heading outside contents that prose follows, to the next ITEM or NOTE heading."""
+    """(keys, section, start, end): each section's first heading outside contents that prose follows, to the next ITEM or NOTE heading.  Texts are read once."""
     k = list(keys)
+    span = "array<struct<start:int,end:int>>"
     held = regions.groupBy(*k).agg(F.collect_list(F.struct("start", "end")).alias("_r"))
-    outside = lambda rows: rows.join(held, k, "left").where(~F.exists(F.coalesce("_r", F.array().cast("array<struct<start:int,end:int>>")), lambda r: (F.col("start") >= r["start"]) & (F.col("start") < r["end"]))).drop("_r")
-    heads = outside(positions(documents, fixed.CHUNK_SECTIONS, *k)).join(documents.select(*k, "text"), k)
-    heads = heads.where(C.has_body_density(F.substring("text", F.col("start") + 1, F.lit(2000))))
-    first = heads.groupBy(*k, "name").agg(F.min("start").alias("start"), F.max("length").alias("length"))
-    stops = outside(positions(documents, {"stop": r"\n\s*(ITEM\s+\d+[A-Z]?|NOTE\s+\d+\s*[-–—])"}, *k)).select(*k, F.col("start").alias("stop"))
-    ends = first.join(stops, k, "left").groupBy(*k, F.col("name").alias("section"), "start", "length").agg(F.min(F.when(F.col("stop") >= F.col("start") + 500, F.col("stop"))).alias("stop"))
-    return ends.select(*k, "section", "start", F.coalesce("stop", "length").alias("end"))
+    rows = documents.select(*k, "text", _positions({**fixed.CHUNK_SECTIONS, **_STOP}, re.IGNORECASE)(F.col("text")).alias("_m")).join(held, k, "left")
+    inside = lambda m: F.exists(F.coalesce("_r", F.array().cast(span)), lambda r: (m["start"] >= r["start"]) & (m["start"] < r["end"]))
+    rows = rows.withColumn("_m", F.filter("_m", lambda m: ~inside(m)))
+    is_stop = lambda m: m["name"] == "stop"
+    heads = F.filter("_m", lambda m: ~is_stop(m) & C.has_body_density(F.substring(F.col("text"), m["start"] + 1, F.lit(2000))))
+    stops = F.transform(F.filter("_m", is_stop), lambda m: m["start"])
+    found = rows.select(*k, F.length("text").alias("length"), stops.alias("_stops"), F.explode(heads).alias("m"))
+    first = found.groupBy(*k, F.col("m.name").alias("section")).agg(F.min_by(F.struct("length", "_stops", F.col("m.start").alias("start")), "m.start").alias("f"))
+    stop = F.array_min(F.filter("f._stops", lambda s: s >= F.col("f.start") + 500))
+    return first.select(*k, "section", "f.start", F.coalesce(stop, "f.length").alias("end"))
 
 
 def cut(text: str, size: int, overlap: int) -> list[tuple[int, int]]:

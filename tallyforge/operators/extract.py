@@ -85,16 +85,15 @@ def granular(grid: DataFrame, layout: DataFrame, years: DataFrame, segments: Dat
     A label counts once in a table, with the first value that it has; total, skipped and subtotal rows don't count.
     """
     k = list(keys)
-    rows = cut(laid_out(grid, layout, years, *k).join(tables.select(*k, "ticker", F.col("dimension").alias("table_dimension")), k).where("item_label <> '' AND val IS NOT NULL"))
+    rows = laid_out(grid, layout, years, *k).join(tables.select(*k, "ticker", F.col("dimension").alias("table_dimension")), k).where("item_label <> '' AND val IS NOT NULL")
     label = F.col("item_label")
     total = C.is_total(label)
     items = rows.where(~total & ~C.is_skipped(label) & ~C.is_subtotal(F.col("ticker"), label))
-    items = items.withColumn("_low", F.lower(label))
-    items = W.ranked(items, [F.col("row_idx")], *k, "_low", most=1).drop("_low", "rank")
+    first = F.min_by(F.struct("row_idx", "ticker", "item_label", "val", "year", "table_dimension"), "row_idx")  # reduced before the shuffle
+    items = items.groupBy(*k, F.lower(label).alias("_low")).agg(first.alias("f")).select(*k, "_low", "f.*")
     # a total that repeats a label listed before is passed over as a repeat
-    listed = items.groupBy(*k).agg(F.collect_set(F.struct(F.lower("item_label").alias("l"), F.col("row_idx").alias("r"))).alias("_seen"))
-    totals = rows.where(total).join(listed, k, "left").where(~F.coalesce(F.exists("_seen", lambda s: (s["l"] == F.lower("item_label")) & (s["r"] < F.col("row_idx"))), F.lit(False)))
-    items = cut(J.with_segment(items.withColumn("item", label), dimension))
+    totals = rows.where(total).withColumn("_low", F.lower(label)).join(items.select(*k, "_low", F.col("row_idx").alias("_first")), [*k, "_low"], "left").where(~F.coalesce(F.col("_first") < F.col("row_idx"), F.lit(False)))
+    items = J.with_segment(items.withColumn("item", label), dimension)
     guess = J.best_segment(items.select(*k, F.col("item").alias("label")), segments, 0.7, *k).select(*k, F.col("label").alias("item"), F.col("segment").alias("guess"))
     items = items.join(guess, [*k, "item"], "left")
     adjustment = C.is_adjustment_item(F.col("ticker"), F.col("item")) | C.is_adjustment(F.col("item"))

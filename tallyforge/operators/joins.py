@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text as T
 
 
+def fixed_rows(spark: SparkSession, rows: tuple[tuple[str, ...], ...], *names: str) -> DataFrame:
+    """A table of fixed strings as literals of the plan, so its size is known and joins with it need no shuffle."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])))
+
+
 def item_segments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.ITEM_SEGMENT), "ticker string, item string, segment string")
+    return F.broadcast(fixed_rows(spark, fixed.ITEM_SEGMENT, "ticker", "item", "segment"))
 
 
 def subtotals(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.SUBTOTALS), "ticker string, item string")
+    return F.broadcast(fixed_rows(spark, fixed.SUBTOTALS, "ticker", "item"))
 
 
 def adjustments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.ADJUSTMENTS), "ticker string, item string")
+    return F.broadcast(fixed_rows(spark, fixed.ADJUSTMENTS, "ticker", "item"))
 
 
 def with_segment(rows: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -79,9 +84,21 @@ def footnotes_of(labels: DataFrame, notes: DataFrame) -> DataFrame:
     return ids.join(notes, "id").groupBy("label").agg(F.min_by("definition", "k").alias("footnote"))
 
 
-def containing(labels: DataFrame, words: DataFrame) -> DataFrame:
-    """(label, word) where either contains the other; words is a dimension table of checked size."""
-    return labels.join(F.broadcast(words), F.contains(F.lower("label"), F.lower("word")) | F.contains(F.lower("word"), F.lower("label")))
+def containing(labels: DataFrame, words: DataFrame, most: int = 1000) -> DataFrame:
+    """(label, word) where either contains the other, whatever their case.
+
+    Up to `most` words become literals of the plan and each label is held against them in place; more are dealt to
+    blocks that meet all labels in an equi-join, so neither side is broadcast.
+    """
+    either = lambda a, b: F.contains(F.lower(a), F.lower(b)) | F.contains(F.lower(b), F.lower(a))
+    some = [r[0] for r in words.where("word IS NOT NULL").select("word").limit(most + 1).collect()]
+    if len(some) <= most:
+        known = F.array(*[F.lit(w) for w in some]).cast("array<string>")
+        return labels.select("label", F.explode(F.filter(known, lambda w: either(F.col("label"), w))).alias("word"))
+    blocks = -(-words.count() // most)
+    dealt = words.withColumn("_block", F.pmod(F.xxhash64("word"), F.lit(blocks)))
+    everywhere = labels.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    return everywhere.join(dealt, "_block").where(either(F.col("label"), F.col("word"))).drop("_block")
 
 
 def within_tolerance(amounts: DataFrame, targets: DataFrame, share: float, *keys: str) -> DataFrame:

@@ -54,13 +54,18 @@ def merge_intervals(df: DataFrame, *keys: str) -> DataFrame:
     return marked.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
+def run_end(count: int, span: int, *keys: str) -> Column:
+    """Where the run of `count` matches that begins with a row of matches(keys, start, end) ends, if within `span` characters, else null."""
+    last = F.lead("end", count - 1).over(Window.partitionBy(*keys).orderBy("start"))
+    return F.when(last - F.col("start") < span, last)
+
+
 def dense_runs(matches: DataFrame, count: int, span: int, margin: int, *keys: str) -> DataFrame:
     """(keys, start, end): where `count` matches in a row lie within `span` characters, `margin` wider on both sides, merged.
 
     matches(keys, start, end, length); length is the text's.
     """
-    order = Window.partitionBy(*keys).orderBy("start")
-    runs = matches.withColumn("_end", F.lead("end", count - 1).over(order)).where(F.col("_end") - F.col("start") < span)
+    runs = matches.withColumn("_end", run_end(count, span, *keys)).where("_end IS NOT NULL")
     wide = runs.select(*keys, F.greatest(F.col("start") - margin, F.lit(0)).alias("start"), F.least(F.col("_end") + margin, F.col("length")).alias("end"))
     return merge_intervals(wide, *keys)
 

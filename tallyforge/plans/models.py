@@ -43,13 +43,14 @@ class ReplayClient:
 
 
 class HttpClient:
-    """A chat service that answers in JSON: a request at most every 60 / rpm seconds, three tries, waits as a 429 asks, one repair call.
+    """A chat service that answers in JSON: `rpm` requests a minute, three tries, waits as a 429 asks, one repair call.
 
-    post(url, body, headers) gives (status, text).  One partition, so that the service's limit holds for all.
+    post(url, body, headers) gives (status, text).  Prompts are dealt to `tasks` tasks, each of which keeps to its share
+    of the service's limit, so the limit holds for all; what makes the prompts runs in tasks of its own.
     """
 
-    def __init__(self, url: str, model: str, key: str, post: Callable[[str, bytes, dict], tuple[int, str]], rpm: int = 60, tries: int = 3):
-        self.url, self.model, self.key, self.post, self.rpm, self.tries = url, model, key, post, rpm, tries
+    def __init__(self, url: str, model: str, key: str, post: Callable[[str, bytes, dict], tuple[int, str]], rpm: int = 60, tries: int = 3, tasks: int = 4):
+        self.url, self.model, self.key, self.post, self.rpm, self.tries, self.tasks = url, model, key, post, rpm, tries, tasks
 
     def ask(self, prompt: str, sleep: Callable[[float], None]) -> str | None:
         body = {"model": self.model, "response_format": {"type": "json_object"}, "messages": [{"role": "user", "content": prompt}]}
@@ -75,7 +76,7 @@ class HttpClient:
                 return None
 
         def run(frames: Iterator) -> Iterator:
-            limiter = Limiter(60 / own.rpm)
+            limiter = Limiter(60 * own.tasks / own.rpm)
             for pdf in frames:
                 replies = []
                 for prompt in pdf["prompt"]:
@@ -88,7 +89,7 @@ class HttpClient:
                     replies.append(good)
                 yield pdf.assign(reply=replies)
 
-        return prompts.coalesce(1).mapInPandas(run, out)
+        return prompts.repartition(self.tasks).mapInPandas(run, out)
 
 
 def embed(texts: DataFrame, dims: int = 64) -> DataFrame:

@@ -701,7 +701,7 @@ SELECT query_label, n_good, n_noise, round(greatest(0.45, least(0.85, least(p90,
 def q43(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = embedded(spark, sf_dir)
     first = v.groupBy("label").agg(F.min_by("v", "chunk_id").alias("q")).select(F.col("label").alias("query_label"), "q")  # one for each label
-    scores = v.join(F.broadcast(first)).select("query_label", F.round(R.dot(F.col("q"), F.col("v")), 12).alias("score"), (F.col("label") == F.col("query_label")).alias("good"))
+    scores = R.against_all(first, v, 64).select("query_label", F.round(R.dot(F.col("q"), F.col("v")), 12).alias("score"), (F.col("label") == F.col("query_label")).alias("good"))
     return R.calibrate(scores, "query_label").withColumn("threshold", F.round("threshold", 9))
 
 
@@ -848,13 +848,13 @@ def q55(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table for each order: a head with years, its lines, and a total."""
-    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("filing_id"), F.lit(0).alias("table_idx"), F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("o"), "l_returnflag", "l_linestatus", F.round("l_extendedprice").cast("bigint").alias("v"))
-    lines = W.ranked(lines, [F.col("o")], "filing_id")
-    money = F.format_number("v", 0)
-    body = lines.select("filing_id", "table_idx", F.col("rank").alias("row_idx"), F.array(F.concat(F.lit("Product "), "l_returnflag", "l_linestatus"), F.lit("$"), money, F.lit("9 %")).alias("cells"))
-    head = lines.select("filing_id", "table_idx").distinct().select("filing_id", "table_idx", F.lit(0).alias("row_idx"), F.array(F.lit(""), F.lit("2024"), F.lit(""), F.lit("change")).alias("cells"))
-    total = lines.groupBy("filing_id", "table_idx").agg((F.max("rank") + 1).alias("row_idx"), F.format_number(F.sum("v"), 0).alias("t")).select("filing_id", "table_idx", "row_idx", F.array(F.lit("Total revenue"), F.lit("$"), F.col("t"), F.lit("")).alias("cells"))
-    return cut(body.unionByName(head).unionByName(total))
+    v = F.round("l_extendedprice").cast("bigint")
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", v.alias("v"))
+    lists = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("filing_id")).agg(F.array_sort(F.collect_list(line)).alias("lines"), F.sum(v).alias("t"))  # a table is one row until here
+    body = F.transform("lines", lambda x: F.array(F.concat(F.lit("Product "), x["l_returnflag"], x["l_linestatus"]), F.lit("$"), F.format_number(x["v"], 0), F.lit("9 %")))
+    head = F.array(F.array(F.lit(""), F.lit("2024"), F.lit(""), F.lit("change")))
+    total = F.array(F.array(F.lit("Total revenue"), F.lit("$"), F.format_number("t", 0), F.lit("")))
+    return lists.select("filing_id", F.lit(0).alias("table_idx"), F.posexplode(F.concat(head, body, total)).alias("row_idx", "cells"))
 
 
 @query(
@@ -867,7 +867,7 @@ def q56(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = grid.select("filing_id", "table_idx").distinct()
     layout = tables.select("*", F.lit(0).alias("item_col"), F.lit(None).cast("int").alias("segment_col"), F.array(F.lit(0)).alias("header_rows"), F.lit(1000).alias("units"))
     years = C.year_cols(X.cells(grid, *X.KEYS), *X.KEYS)
-    segments = spark.createDataFrame([], "filing_id long, table_idx int, segment string, pos int")
+    segments = tables.select("*", F.lit("").alias("segment"), F.lit(0).alias("pos")).where("false")
     rows, _ = X.granular(grid, layout, years, segments, tables.select("*", F.lit("XOM").alias("ticker"), F.lit("product_service").alias("dimension")), J.item_segments(spark), *X.KEYS)
     return rows.select("filing_id", "item", "value", "row_idx")
 
