@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Tally, Words, blocks, checkpoint, columns, documents, least_count, mix, tidied, utf8, windows
@@ -345,17 +345,8 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int, to
     return rows.repartition(*order).sortWithinPartitions(*order, "kind").mapInArrow(tidied(compare), "a long, b long").distinct()
 
 
-_LONGS = range(BITS // 64)
-
-
-def _fits(x: str, y: str, num: int, den: int) -> Column:
-    """Whether a pair of nodes x, y may hold a pair of two components that reaches the threshold."""
-    c = F.col
-    one = (c(f"{x}_c0") == c(f"{x}_c1")) & (c(f"{y}_c0") == c(f"{y}_c1")) & (c(f"{x}_c0") == c(f"{y}_c0"))
-    sizes = (den * c(f"{x}_high") >= num * c(f"{y}_low")) & (den * c(f"{y}_high") >= num * c(f"{x}_low"))
-    shared = sum((F.bit_count(c(f"{x}_b{k}").bitwiseAND(c(f"{y}_b{k}"))) for k in _LONGS), F.lit(0))
-    most = [c(f"{z}_high") - F.greatest(F.lit(0), c(f"{z}_least") - shared) for z in (x, y)]
-    return ~one & sizes & ((den + num) * F.least(*most) >= num * (c(f"{x}_low") + c(f"{y}_low")))
+def _bits(column: pa.Array, n: int) -> np.ndarray:
+    return np.asarray(column.flatten()).view(np.uint64).reshape(n, BITS // 64)
 
 
 def _dealt(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
@@ -375,12 +366,51 @@ def _dealt(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
 
 def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
     """(key, node, x_node, y_node): the pairs of nodes of dealt(key, node, n, bits, label) to be visited, a row for each node of a pair."""
-    bit = [F.col("bits")[k] for k in _LONGS]
-    held = dealt.select("key", "node", "n", "label", sum(map(F.bit_count, bit), F.lit(0)).alias("ones"), *[b.alias(f"b{k}") for k, b in enumerate(bit)])
-    nodes = held.groupBy("key", "node").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("c0"), F.max("label").alias("c1"), F.min("ones").alias("least"), *[F.bit_or(f"b{k}").alias(f"b{k}") for k in _LONGS])
-    nodes = checkpoint(nodes)
+    kind = "key long, node long, low long, high long, c0 long, c1 long, least long, bits array<long>"
+    names = [x.split()[0] for x in kind.split(", ")]
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted rows to a row for each run of (key, node) in a batch, and the last one's go on in the next."""
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node, n, label = (np.asarray(batch.column(k)) for k in range(4))
+            bits = _bits(batch.column(4), batch.num_rows)
+            ones = np.bitwise_count(bits).sum(1).astype(np.int64)
+            rows = [key, node, n, n, label, label, ones, bits]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            cuts = np.concatenate([[0], np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1])
+            least, most = np.minimum.reduceat, np.maximum.reduceat
+            out = [rows[0][cuts], rows[1][cuts], *(f(x, cuts) for f, x in zip((least, most, least, most, least), rows[2:7])), np.bitwise_or.reduceat(rows[7], cuts, axis=0)]
+            held = [x[-1:] for x in out]
+            yield packed([x[:-1] for x in out])
+        if held is not None:
+            yield packed(held)
+
+    def packed(rows: list[np.ndarray]) -> pa.RecordBatch:
+        words = rows[7].view(np.int64).ravel()
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows[:7]), pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, BITS // 64), pa.int32()), pa.array(words))], names=names)
+
+    nodes = dealt.select("key", "node", "n", "label", "bits").repartition("key", "node").sortWithinPartitions("key", "node").mapInArrow(tidied(summary), kind)
+    nodes = checkpoint(nodes, narrow=True)
     left, right = (nodes.select("key", *[F.col(c).alias(f"{x}_{c}") for c in nodes.columns if c != "key"]) for x in "xy")
-    tasks = left.join(right, "key").where("x_node <= y_node").where(_fits("x", "y", num, den))
+    one = "x_c0 = x_c1 AND y_c0 = y_c1 AND x_c0 = y_c0"
+    sizes = (den * F.col("x_high") >= num * F.col("y_low")) & (den * F.col("y_high") >= num * F.col("x_low"))
+    sides = [f"{x}_{c}" for x in "xy" for c in ("node", "low", "high", "least", "bits")]
+    tasks = left.join(right, "key").where("x_node <= y_node").where(f"NOT ({one})").where(sizes).select("key", *sides)
+
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs whose greatest possible overlap, seen from the bits that the other lacks, is enough."""
+        for batch in batches:
+            key, x, x_low, x_high, x_least, _, y, y_low, y_high, y_least = (np.asarray(batch.column(k)) if k != 5 else None for k in range(10))
+            shared = np.bitwise_count(_bits(batch.column(5), batch.num_rows) & _bits(batch.column(10), batch.num_rows)).sum(1).astype(np.int64)
+            most = np.minimum(x_high - np.maximum(0, x_least - shared), y_high - np.maximum(0, y_least - shared))
+            ok = (den + num) * most >= num * (x_low + y_low)
+            yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in (key, x, y)], names=["key", "x_node", "y_node"])
+
+    tasks = tasks.mapInArrow(tidied(visited), "key long, x_node long, y_node long")
     return tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
 
 
@@ -413,7 +443,7 @@ def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame
 
         for batch in batches:
             numbers = [np.asarray(batch.column(k)) for k in range(7)]
-            bits = np.asarray(batch.column(7).flatten()).view(np.uint64).reshape(batch.num_rows, BITS // 64)
+            bits = _bits(batch.column(7), batch.num_rows)
             part = [np.stack(numbers[:3], axis=1), *numbers[3:], bits]
             if held is not None:
                 part = [np.concatenate(x) for x in zip(held, part)]
