@@ -350,7 +350,7 @@ def _bits(column: pa.Array, n: int) -> np.ndarray:
 
 
 def _dealt(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
-    """The members(key, id, n, bits, label) of keys with more than `block`, with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
+    """The members(key, id, n, lost, bits, label) of keys with more than `block`, with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
     members = members.join(large, "key")
     of_large = members.groupBy("key", "label", "n").agg(F.count("*").alias("m"))
     of_large = checkpoint(of_large, narrow=True)
@@ -361,7 +361,7 @@ def _dealt(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
     spans = checkpoint(spans.withColumn("part", F.coalesce("part", F.lit(-1))), narrow=True)
     parts = members.join(own, ["key", "label"], "left").withColumn("part", F.coalesce("part", F.lit(-1)))  # a component's label is 0 or more
     node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id"), F.col("split")))
-    return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "bits", "label")
+    return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "lost", "bits", "label")
 
 
 def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
@@ -415,9 +415,12 @@ def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components under a key that may reach the threshold, a row for each key, from members(key, id, n, bits, label)."""
+    """(a, b, need) of pairs of different components under a key that may reach the threshold, a row for each key, from members(key, id, n, lost, bits, label).
+
+    `need` is in how many nodes a pair must be found; see `likely`.
+    """
     own = F.lit(0).cast("long")
-    rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "label", "bits")
+    rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "lost", "label", "bits")
     large = members.groupBy("key").count().where(F.col("count") > block).select("key")
     if not large.isEmpty():
         large = checkpoint(large, narrow=True)
@@ -430,21 +433,23 @@ def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame
         held: list[np.ndarray] | None = None
 
         def pairs(part: list[np.ndarray]) -> pa.RecordBatch:
-            task, node, ids, n, label, bits = part
+            task, node, ids, n, lost, label, bits = part
             cuts = np.concatenate([[0], np.flatnonzero((task[1:] != task[:-1]).any(1)) + 1, [len(task)]])
+            places = np.arange(len(ids))
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for i, j in zip(cuts[:-1], cuts[1:]):
                 if j - i < 2:
                     continue
-                trees = [SignatureTree(ids[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in (node[i:j] == x for x in dict.fromkeys(task[i, 1:])) if m.any()]
+                trees = [SignatureTree(places[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in (node[i:j] == x for x in dict.fromkeys(task[i, 1:])) if m.any()]
                 found += trees[0].pairs(trees[-1], num, den)
             x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+            rest = -(-num * n // den) - 1
+            need = np.maximum(1, -(-num * (n[x] + n[y]) // (den + num)) - np.maximum(rest[x], rest[y]) - np.maximum(lost[x], lost[y]))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(need.astype(np.int32))], names=["a", "b", "need"])
 
         for batch in batches:
-            numbers = [np.asarray(batch.column(k)) for k in range(7)]
-            bits = _bits(batch.column(7), batch.num_rows)
-            part = [np.stack(numbers[:3], axis=1), *numbers[3:], bits]
+            numbers = [np.asarray(batch.column(k)).astype(np.int64) for k in range(8)]
+            part = [np.stack(numbers[:3], axis=1), *numbers[3:], _bits(batch.column(8), batch.num_rows)]
             if held is not None:
                 part = [np.concatenate(x) for x in zip(held, part)]
             last = int(np.flatnonzero((part[0] != part[0][-1]).any(1)).max(initial=-1)) + 1 if len(part[0]) else 0
@@ -455,7 +460,7 @@ def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame
             yield pairs(held)
 
     order = ("key", "x_node", "y_node")
-    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long")
+    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long, need int")
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least: int, most: int) -> tuple[DataFrame, DataFrame]:
@@ -471,24 +476,29 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     firsts = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "m")
 
     def likely(found: DataFrame) -> DataFrame:
-        """(a, b, text_a, text_b) of the pairs (a, b), a row for each node that holds both, that may reach the threshold."""
+        """(a, b, text_a, text_b) of the pairs (a, b, need), a row for each node that holds both, that may reach the threshold.
+
+        Pairs whose need is known are counted and left out before anything is joined to them.
+        """
         side = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("lost").alias(f"lost_{x}"), F.struct("doc_id", "hi", "lo").alias(f"text_{x}"))
-        both = found.groupBy("a", "b").agg(F.count("*").alias("c")).join(side("a"), "a").join(side("b"), "b")
+        counted = found.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("need").alias("need")).where("need IS NULL OR c >= need").drop("need")
+        both = counted.join(side("a"), "a").join(side("b"), "b")
         n = F.col("n_a") + F.col("n_b")
         rest = lambda x: F.ceil(num * F.col(x) / den) - 1  # noqa: E731  shingles that are not among the first ones
         need = F.ceil(num * n / (den + num)) - F.greatest(rest("n_a"), rest("n_b")) - F.greatest("lost_a", "lost_b")
         fits = den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")
         return both.where(fits & (F.col("c") >= need)).select("a", "b", "text_a", "text_b")
 
-    seeds = checkpoint(likely(firsts.where("m > 2")), narrow=True)
+    unknown = F.lit(None).cast("int").alias("need")
+    seeds = checkpoint(likely(firsts.where("m > 2").select("a", "b", unknown)), narrow=True)
     links = checkpoint(linked(seeds, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links), narrow=True)
     label = lambda x: labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
     first = checkpoint(entries.where("m > 2").select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
     open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
-    members = checkpoint(first.join(open_keys, "key").join(groups.select("id", "n", "bits"), "id"))
-    found = cross_pairs(members, block, num, den).unionAll(firsts.where("m = 2").select("a", "b"))
+    members = checkpoint(first.join(open_keys, "key").join(groups.select("id", "n", "lost", "bits"), "id"))
+    found = cross_pairs(members, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown))
     pairs = likely(found).join(seeds.select("a", "b"), ["a", "b"], "left_anti").join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b")
     pairs = checkpoint(pairs.select("a", "b", "text_a", "text_b"), narrow=True)
     if not pairs.isEmpty():
