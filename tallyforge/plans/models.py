@@ -136,10 +136,12 @@ def segment_summaries(chunks: DataFrame, segments: DataFrame, most: int = 3) ->
 
 
 def key_items(summaries: DataFrame) -> DataFrame:
-    """(filing_id, segment, pos, item, span, text): product names in a segment's snippets, each its own evidence; see describe.accepted_items."""
+    """(filing_id, segment, pos, item, span, text): product names in a segment's snippets, each with the sentence that it stands in as evidence; see describe.accepted_items."""
     from ..operators import describe as D
 
-    return summaries.select("filing_id", "segment", F.posexplode(D.products(F.col("text"))).alias("pos", "item"), "text").select("filing_id", "segment", "pos", "item", F.col("item").alias("span"), "text")
+    items = summaries.select("filing_id", "segment", F.posexplode(D.products(F.col("text"))).alias("pos", "item"), "text")
+    sentences = F.split("text", r"(?<=[.!?])\s+")
+    return items.select("filing_id", "segment", "pos", "item", F.get(F.filter(sentences, lambda x: F.contains(x, F.col("item"))), F.lit(0)).alias("span"), "text")
 
 
 def sha(prompt: str) -> str:

@@ -15,7 +15,8 @@ from ..operators import validate as V
 from ..operators import windows as W
 from ..sources import filings as S
 from ..streaming import arrivals
-from .queries import CAPTIONS, LABELS, NOTES, SEGMENTS, TICKERS, dealt, lit, query, read, sql_contains, sql_dealt, sql_found, sql_hits, sql_tokens
+from . import models
+from .queries import CAPTIONS, LABELS, NOTES, SEGMENTS, TICKERS, dealt, grids, lit, query, read, sql_contains, sql_dealt, sql_found, sql_hits, sql_tokens
 
 STATEMENT_LABELS = (
     "Revenue Cost of revenue Net income", "Total revenue Advertising Other", "Net sales Products Services", "Revenues Operating expenses Net earnings Earnings per share", "Members Stores", "Total net sales United States China", "Operating income Net income Cost of sales Revenue",
@@ -280,3 +281,102 @@ def q84(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = dealt(LABELS, "doc_id")
     terms = T.search_terms(label)
     return read(spark, sf_dir, "documents").select("doc_id", F.contains(F.get(terms, F.lit(0)), F.lit("ad")).alias("has_ad"), V.is_contra_revenue(dealt(NOTES, "doc_id")).alias("contra"), F.size(T.tokens(label)).cast("bigint").alias("n_tokens"))
+
+
+@query("q85_with_description", "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS item, coalesce(c_name, '') AS description FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 3) ON o_custkey = c_custkey")
+def q85(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("item"))
+    known = read(spark, sf_dir, "customer").where("c_nationkey <> 3").select(F.col("c_custkey").cast("string").alias("item"), F.col("c_name").alias("description"))
+    return J.with_description(rows, known).select("o_orderkey", "item", "description")
+
+
+ORDERS_AS_TABLES = "SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {}) AS place FROM orders"
+
+
+def tables_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("table_idx"), F.col("o_orderkey").alias("table_id"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("confidence"), F.col("o_orderstatus").alias("kind"))
+
+
+@query("q86_by_priority", ORDERS_AS_TABLES.format("o_orderpriority, o_totalprice DESC, o_orderkey"))
+def q86(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.by_priority(tables_of_customers(spark, sf_dir), "o_custkey").select("o_custkey", F.col("table_idx").alias("o_orderkey"), "place")
+
+
+@query("q87_best_of_kind", "SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'F' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey DESC) = 1")
+def q87(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.best_of_kind(tables_of_customers(spark, sf_dir), "F", "o_custkey").select("o_custkey", F.col("table_id").alias("o_orderkey"))
+
+
+@query(
+    "q88_segment_col_fits",
+    """WITH v AS (SELECT DISTINCT user_id, trim(lower(event_type)) AS v FROM events WHERE length(trim(event_type)) > 1), e AS (SELECT DISTINCT user_id, lower(event_type) AS s FROM events WHERE user_id % 3 = 0 AND value > 50),
+n AS (SELECT v.user_id, v.v, max(CAST(coalesce(contains(v.v, e.s) OR contains(e.s, v.v), false) AS INTEGER)) AS near FROM v LEFT JOIN e USING (user_id) GROUP BY v.user_id, v.v) SELECT user_id, NOT (avg(near) < 0.3 AND count(*) > 2) AS fits FROM n GROUP BY user_id""",
+)
+def q88(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read(spark, sf_dir, "events")
+    segments = events.where("user_id % 3 = 0 AND value > 50").select("user_id", F.upper("event_type").alias("segment"))
+    return C.segment_col_fits(events.select("user_id", F.concat(F.lit(" "), F.initcap("event_type")).alias("value")), segments, "user_id")
+
+
+@query(
+    "q89_plain_check",
+    """WITH s AS (SELECT l_orderkey, CAST(sum(CAST(round(l_extendedprice * (1 - l_discount)) AS BIGINT)) AS BIGINT) AS s FROM lineitem GROUP BY l_orderkey) SELECT o_orderkey, abs(CAST(round(o_totalprice) AS BIGINT) - s) / CAST(greatest(1, CAST(round(o_totalprice) AS BIGINT)) AS DOUBLE) <= 0.5 AS ok FROM orders JOIN s ON l_orderkey = o_orderkey""",
+)
+def q89(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(F.round(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("bigint")).alias("s"))
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", F.round("o_totalprice").cast("bigint").alias("t"))
+    return orders.join(sums, "o_orderkey").select("o_orderkey", V.plain_check(F.col("t"), F.col("s"), 0.5).alias("ok"))
+
+
+AMOUNT = r"(?i)\$?[\d,]+(?:\.\d+)?\s*(?:million|billion)"
+
+
+@query(
+    "q90_mentions_in_context",
+    rf"""WITH t AS (SELECT doc_id, text || ' We sold $' || (doc_id % 97 + 1) || '.5 million of goods, and more of them later on, as the year went by.' AS x FROM documents WHERE text IS NOT NULL), m AS (SELECT doc_id, x, regexp_extract(x, '{AMOUNT}') AS m FROM t)
+SELECT doc_id, substring(x, greatest(1, instr(x, m) - 100), length(m) + 200) AS context FROM m WHERE m <> ''""",
+)
+def q90(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.concat("text", F.lit(" We sold $"), F.col("doc_id") % 97 + 1, F.lit(".5 million of goods, and more of them later on, as the year went by."))
+    return V.mentions_in_context(read(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", said.alias("text")), 100, "doc_id")
+
+
+@query(
+    "q91_label_values",
+    """WITH t AS (SELECT l_orderkey AS filing_id, 'Product ' || l_returnflag || l_linestatus AS label, CAST(round(l_extendedprice) AS BIGINT) AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k FROM lineitem)
+SELECT filing_id, label, min_by(v, k) AS value FROM t GROUP BY filing_id, label UNION ALL SELECT filing_id, 'Total revenue', CAST(sum(v) AS BIGINT) FROM t GROUP BY filing_id""",
+)
+def q91(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = grids(spark, sf_dir)
+    years = C.year_cols(X.cells(grid, *X.KEYS), *X.KEYS)
+    return X.label_values(grid, years, *X.KEYS).select("filing_id", F.explode("values").alias("label", "value")).select("filing_id", "label", F.col("value").cast("bigint").alias("value"))
+
+
+@query(
+    "q92_segment_summaries",
+    """WITH c AS (SELECT doc_id % 20 AS filing_id, doc_id AS chunk_idx, text, CASE doc_id % 4 WHEN 0 THEN 'other' WHEN 1 THEN 'item1' WHEN 2 THEN 'note_revenue' ELSE 'note_segment' END AS section, CASE doc_id % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS r FROM documents WHERE doc_id % 11 <> 0),
+s(segment) AS (VALUES ('The'), ('And')), f AS (SELECT filing_id, segment, text, row_number() OVER (PARTITION BY filing_id, segment ORDER BY r, chunk_idx) AS k FROM c, s WHERE contains(lower(text), lower(segment)) QUALIFY k <= 3)
+SELECT filing_id, segment, md5(string_agg(text, ' ' ORDER BY k)) AS text_md5 FROM f GROUP BY filing_id, segment""",
+)
+def q92(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    section = F.when(k % 4 == 0, "other").when(k % 4 == 1, "item1").when(k % 4 == 2, "note_revenue").otherwise("note_segment")
+    chunks = read(spark, sf_dir, "documents").select((k % 20).alias("filing_id"), k.alias("chunk_idx"), "text", section.alias("section"), (k % 11 == 0).alias("is_toc"))
+    segments = chunks.select("filing_id").distinct().withColumn("segment", F.explode(F.array(F.lit("The"), F.lit("And"))))
+    return models.segment_summaries(chunks, segments).select("filing_id", "segment", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("q93_ticker_ciks", "SELECT upper(trim(c_mktsegment)) || (c_nationkey % 5) AS ticker, max(c_custkey) AS cik FROM customer GROUP BY ALL")
+def q93(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.ticker_ciks(read(spark, sf_dir, "customer").select(F.concat(F.lit(" "), F.lower("c_mktsegment"), F.col("c_nationkey") % 5, F.lit(" ")).alias("ticker"), F.col("c_custkey").cast("string").alias("cik_str")))
+
+
+@query(
+    "q94_quantile",
+    """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90, round(quantile_cont(l_discount, 0.25), 6) AS p25 FROM lineitem GROUP BY l_returnflag""",
+)
+def q94(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of many values and of few that repeat."""
+    lines = read(spark, sf_dir, "lineitem")
+    of = lambda c, share, name: R.quantile(lines.select("l_returnflag", F.col(c).alias("score")), share, "l_returnflag").select("l_returnflag", F.round("quantile", 6).alias(name))
+    return of("l_extendedprice", 0.9, "p90").join(of("l_discount", 0.25, "p25"), "l_returnflag")

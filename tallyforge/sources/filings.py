@@ -140,6 +140,17 @@ def still_wanted(wanted: DataFrame, downloaded: DataFrame) -> DataFrame:
     return wanted.join(downloaded.select("ticker").distinct(), "ticker", "left_anti").orderBy("name")
 
 
+def wanted_filings(entries: DataFrame, submissions: DataFrame, tickers: DataFrame, forms: tuple[str, ...] = ("10-K",)) -> DataFrame:
+    """What download takes: of each company of tickers(ticker) the first filing, as listed, of an allowed form.
+
+    entries(ticker, cik_str) name the companies' numbers, submissions(path, form[], …) are those of read_submissions, whose file names hold them.
+    """
+    ciks = ticker_ciks(entries).join(tickers.select(F.upper(F.trim("ticker")).alias("ticker")).distinct(), "ticker")
+    listed = submissions.withColumn("cik", F.regexp_extract("path", r"(\d{10})[^/]*$", 1).try_cast("bigint")).join(ciks, "cik")
+    first = W.first_filing(listed, forms).join(ciks, "ticker")
+    return first.select("ticker", "cik", "form", F.col("accessionNumber").alias("accession_number"), F.col("filingDate").alias("filing_date"), F.col("primaryDocument").alias("primary_document"))
+
+
 # --- download -----------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.operators import describe as D
 from tallyforge.plans import models
 from tallyforge.sources import filings as S
 from tallyforge.streaming import arrivals
@@ -152,3 +153,60 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
+
+
+def test_from_tickers_to_a_download(spark, tmp_path):
+    for cik, forms in ((320, ["8-K", "10-K", "10-K"]), (77, ["10-Q"])):
+        n = range(len(forms))
+        recent = {"form": forms, "accessionNumber": [f"0-{k}" for k in n], "filingDate": [f"2024-0{k + 1}-01" for k in n], "primaryDocument": [f"d{k}.htm" for k in n]}
+        write(tmp_path / "sub" / f"CIK{cik:010d}.json", {"name": "n", "filings": {"recent": recent}})
+    entries = spark.createDataFrame([("abc ", "320"), ("old", "77"), ("", "5"), ("zzz", None)], "ticker string, cik_str string")
+    tickers = spark.createDataFrame([("ABC",), ("Old",), ("zzz",)], "ticker string")
+    wanted = S.wanted_filings(entries, S.read_submissions(spark, f"{tmp_path}/sub/*.json"), tickers)
+    assert [tuple(r) for r in wanted.collect()] == [("ABC", 320, "10-K", "0-1", "2024-02-01", "d1.htm")]
+    got = S.download(wanted, lambda: lambda url: url.encode()).first()
+    assert got["ok"] and got["html"].endswith("/320/01/d1.htm") and got["index"].endswith("/320/01/index.json")
+
+
+def test_sinks_of_candidates_coverage_and_reports(spark, tmp_path):
+    S.write_candidates(spark.createDataFrame([(1, "t")], "table_idx int, caption string"), str(tmp_path / "c"))
+    assert [r["schema"] for r in spark.read.json(str(tmp_path / "c")).collect()] == ["table_candidates.v2"]
+    for _ in range(2):  # written anew each time
+        S.write_coverage(spark.createDataFrame([("A", True)], "ticker string, covered boolean"), str(tmp_path / "v"))
+    assert [tuple(r) for r in S.read_coverage(spark, str(tmp_path / "v")).select("ticker", "covered").collect()] == [("A", True)]
+    write(tmp_path / "report.json", {"tickers": {"V": {"ok": True, "segment_year": 2024, "validation": {"ok": True, "table_total": 40}}, "X": {"ok": False, "errors": ["none"]}}})
+    got = {r["ticker"]: (r["ok"], r["errors"], r["validation"] and r["validation"]["table_total"]) for r in S.read_report(spark, str(tmp_path / "report.json")).collect()}
+    assert got == {"V": (True, None, 40), "X": (False, ["none"], None)}
+
+
+def test_reconciling_again_keeps_what_comes_nearer(spark):
+    from tallyforge.operators import validate as V
+
+    kind, asked = "filing_id int, income_total long, net_total long", []
+
+    def extract(gaps):
+        asked.append(None if gaps is None else sorted((r["filing_id"], r["gap_amount"]) for r in gaps.collect()))
+        again = {None: [(1, 100, 100), (2, 100, 40), (3, 100, 60)], 2: [(2, 100, 99), (3, 100, 10)], 3: [(3, 100, 50)]}
+        return spark.createDataFrame(again[None if gaps is None else len(asked)], kind)
+
+    got = {r["filing_id"]: (r["status"], r["net_total"]) for r in V.iterate(extract).collect()}
+    assert got == {1: ("PASS", 100), 2: ("PASS", 99), 3: (got[3][0], 60)} and got[3][0] != "PASS"  # no pass made 3 worse
+    assert [x and [i for i, _ in x] for x in asked] == [None, [2, 3], [3]]
+
+
+def test_key_items_of_a_summary(spark):
+    rows = spark.createDataFrame([(1, "Cloud", "We sell. Offerings include Azure Cloud, GeForce RTX and H100. More.")], "filing_id int, segment string, text string")
+    got = models.key_items(rows).orderBy("pos").collect()
+    assert "Azure Cloud" in {r["item"] for r in got}
+    assert {r["span"] for r in got} == {"Offerings include Azure Cloud, GeForce RTX and H100."}
+    assert "Azure Cloud" in {r["item"] for r in D.accepted_items(models.key_items(rows), "filing_id").collect()}
+    assert D.accepted_items(models.key_items(rows).withColumn("span", F.lit("words that stand nowhere in it")), "filing_id").count() == 0
+
+
+def test_more_words_than_literals(spark):
+    from tallyforge.operators import joins as J
+
+    labels = spark.createDataFrame([("Net Sales",), ("ad",), ("zzz",), (None,)], "label string")
+    words = spark.createDataFrame([("sales",), ("Adverts",), ("net",), (None,)], "word string")
+    one, other = (sorted(map(tuple, J.containing(labels, words, most=n).collect())) for n in (1000, 2))
+    assert one == other == [("Net Sales", "net"), ("Net Sales", "sales"), ("ad", "Adverts")]
