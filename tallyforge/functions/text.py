@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
@@ -95,6 +95,11 @@ def is_table_header(x: Column) -> Column:
     )
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column whose costly expression is evaluated once a row: a generator's output isn't copied into the filters and columns that use it."""
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 # --- money and units ----------------------------------------------------------------------------
 
 _DASHES = ("", "-", "—", "–", "$", "−")
@@ -159,7 +164,7 @@ def years(x: Column) -> Column:
 
 def header_year(cell: Column, low: int = 2018, high: int = 2030) -> Column:
     """The first year of a header cell if it is in the range."""
-    y = F.regexp_extract(cell, r"\b(20\d{2})\b", 1).try_cast("int")
+    y = F.nullif(F.regexp_extract(cell, r"\b(20\d{2})\b", 1), F.lit("")).cast("int")  # a failed try_cast costs an exception in each cell
     return F.when(y.between(low, high), y)
 
 

@@ -242,7 +242,7 @@ def veto_year_cols(cells: DataFrame, layout: DataFrame, *table: str) -> DataFram
 
 def year_cols(cells: DataFrame, *table: str, rows: int = 12, low: int = 2018, high: int = 2030) -> DataFrame:
     """(table, year, col): the first column that names each year in the first rows."""
-    named = cells.where(F.col("row_idx") < rows).withColumn("year", T.header_year(F.col("text"), low, high)).where("year is not null")
+    named = T.once(cells.where(F.col("row_idx") < rows), "year", T.header_year(F.col("text"), low, high)).where("year is not null")
     return named.groupBy(*table, "year").agg(F.min_by("col_idx", F.struct("row_idx", "col_idx")).alias("col"))
 
 

@@ -38,7 +38,7 @@ def laid_out(grid: DataFrame, layout: DataFrame, years: DataFrame, *keys: str) -
     rows = grid.join(layout.select(*k, "item_col", "segment_col", "header_rows", F.greatest(F.coalesce("units", F.lit(1)), F.lit(1)).cast("bigint").alias("units")), k).join(newest_year(years, *k), k)
     rows = rows.where(~F.coalesce(F.array_contains("header_rows", F.col("row_idx")), F.lit(False))).where(F.exists("cells", lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
     rows = rows.withColumn("item_label", cell("item_col")).withColumn("seg_label", F.when(F.col("segment_col").isNotNull(), cell("segment_col")).otherwise(F.lit("")))
-    return rows.withColumn("val", T.money_near(F.col("cells"), F.col("val_col")) * F.col("units"))
+    return T.once(rows, "val", T.money_near(F.col("cells"), F.col("val_col")) * F.col("units"))
 
 
 def with_year_cols(grid: DataFrame, layout_years: DataFrame, *keys: str) -> DataFrame:
