@@ -837,7 +837,13 @@ def q54(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Ch.sections(filings, Ch.contents_regions(filings, "doc_id"), "doc_id")
 
 
-@query("q55_keyword_windows")
+@query(
+    "q55_keyword_windows",
+    f"""WITH t AS (SELECT doc_id, concat_ws(' ', text, {sql_dealt(CAPTIONS, 'doc_id')}) AS x FROM documents), w(w, k) AS (VALUES ('revenue', 1), ('segment', 2), ('net sales', 3)), p AS (SELECT doc_id, x, w, k, string_split(lower(x), w) AS parts FROM t, w),
+u AS (SELECT doc_id, x, w, k, generate_subscripts(parts, 1) AS i, unnest(parts) AS part, len(parts) AS m FROM p), a AS (SELECT *, CAST(sum(length(part)) OVER (PARTITION BY doc_id, k ORDER BY i) + (i - 1) * length(w) AS BIGINT) AS pos FROM u QUALIFY i < m),
+c AS (SELECT doc_id, k, pos, trim(substring(x, greatest(pos - 400, 0) + 1, pos + 1200 - greatest(pos - 400, 0))) AS s FROM a), o AS (SELECT doc_id, s, min((k, pos)) AS o FROM c WHERE s <> '' GROUP BY doc_id, s)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY o) AS place, length(s) AS n_chars FROM o QUALIFY place <= 12""",
+)
 def q55(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", "text", dealt(CAPTIONS, "doc_id")).alias("text"))
     return Ch.keyword_windows(docs, ("revenue", "segment", "net sales"), "doc_id").select("doc_id", "place", F.length("snippet").alias("n_chars"))
