@@ -13,8 +13,8 @@ come last, by their number of texts, the rest by hash.
 
 Within a first-level node, in this order:
 
-1. members that share many nodes with the node's first member are compared with it, and the links found are merged
-   into components.  This only saves work: pairs of one component need no visit later.
+1. each member is compared with one of the first members of its nodes, that which it shares most nodes with, and
+   the links found are merged into components.  This only saves work: pairs of one component need no visit later.
 2. Nodes that still hold several components are searched completely: members are dealt to nodes of `block` by
    size (large components to nodes of their own), and below these stands a signature tree.  All nodes hold
    the OR of their members' token bitmaps, their size range and their component if it is one.  A dual
@@ -349,9 +349,8 @@ def _bits(column: pa.Array, n: int) -> np.ndarray:
     return np.asarray(column.flatten()).view(np.uint64).reshape(n, BITS // 64)
 
 
-def _dealt(members: DataFrame, large: DataFrame, block: int) -> DataFrame:
-    """The members(key, id, n, lost, bits, label) of keys with more than `block`, with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
-    members = members.join(large, "key")
+def _dealt(members: DataFrame, block: int) -> DataFrame:
+    """members(key, id, n, lost, bits, label) with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
     of_large = members.groupBy("key", "label", "n").agg(F.count("*").alias("m"))
     of_large = checkpoint(of_large, narrow=True)
     own = of_large.groupBy("key", "label").agg(F.sum("m").alias("all")).where(F.col("all") > block).select("key", "label", F.col("label").alias("part"))
@@ -414,17 +413,16 @@ def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
     return tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
 
 
-def cross_pairs(members: DataFrame, block: int, num: int, den: int) -> DataFrame:
+def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den: int) -> DataFrame:
     """(a, b, need) of pairs of different components under a key that may reach the threshold, a row for each key, from members(key, id, n, lost, bits, label).
 
-    `need` is in how many nodes a pair must be found; see `likely`.
+    large(key) are the keys with more than `block` members.  `need` is in how many nodes a pair must be found; see `likely`.
     """
     own = F.lit(0).cast("long")
     rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "lost", "label", "bits")
-    large = members.groupBy("key").count().where(F.col("count") > block).select("key")
     if not large.isEmpty():
         large = checkpoint(large, narrow=True)
-        dealt = checkpoint(_dealt(members, large, block))
+        dealt = checkpoint(_dealt(checkpoint(members.join(large, "key")), block))
         tasks = node_pairs(dealt, num, den)
         rows = rows.join(large, "key", "left_anti").select(rows.columns).unionAll(tasks.join(dealt, ["key", "node"]).select(rows.columns))
 
@@ -475,13 +473,9 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     entries = checkpoint(entries.join(nodes, "key"))
     firsts = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "m")
 
-    def likely(found: DataFrame) -> DataFrame:
-        """(a, b, text_a, text_b) of the pairs (a, b, need), a row for each node that holds both, that may reach the threshold.
-
-        Pairs whose need is known are counted and left out before anything is joined to them.
-        """
+    def enough(counted: DataFrame) -> DataFrame:
+        """(a, b, text_a, text_b) of the pairs (a, b, c), found in c nodes, that may reach the threshold."""
         side = lambda x: groups.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("lost").alias(f"lost_{x}"), F.struct("doc_id", "hi", "lo").alias(f"text_{x}"))
-        counted = found.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("need").alias("need")).where("need IS NULL OR c >= need").drop("need")
         both = counted.join(side("a"), "a").join(side("b"), "b")
         n = F.col("n_a") + F.col("n_b")
         rest = lambda x: F.ceil(num * F.col(x) / den) - 1  # noqa: E731  shingles that are not among the first ones
@@ -489,16 +483,24 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
         fits = den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")
         return both.where(fits & (F.col("c") >= need)).select("a", "b", "text_a", "text_b")
 
+    def likely(found: DataFrame) -> DataFrame:
+        """The same of the pairs (a, b, need), a row for each node that holds both.  Pairs whose need is known are counted and left out before anything is joined to them."""
+        return enough(found.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("need").alias("need")).where("need IS NULL OR c >= need").drop("need"))
+
     unknown = F.lit(None).cast("int").alias("need")
-    seeds = checkpoint(likely(firsts.where("m > 2").select("a", "b", unknown)), narrow=True)
+    # each member with one of the first members it meets, that of the most nodes
+    heads = firsts.where("m > 2").groupBy("a", "b").agg(F.count("*").alias("c")).groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("h"))
+    heads = heads.select((-F.col("h.a")).alias("a"), "b", "h.c")
+    seeds = checkpoint(enough(heads), narrow=True)
     links = checkpoint(linked(seeds, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
     labels = checkpoint(components(ids, links), narrow=True)
     label = lambda x: labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
     first = checkpoint(entries.where("m > 2").select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
     open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
-    members = checkpoint(first.join(open_keys, "key").join(groups.select("id", "n", "lost", "bits"), "id"))
-    found = cross_pairs(members, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown))
+    members = first.join(open_keys, "key").join(groups.select("id", "n", "lost", "bits"), "id")
+    large = entries.where(F.col("m") > block).select("key").distinct()
+    found = cross_pairs(members, large, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown))
     pairs = likely(found).join(seeds.select("a", "b"), ["a", "b"], "left_anti").join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b")
     pairs = checkpoint(pairs.select("a", "b", "text_a", "text_b"), narrow=True)
     if not pairs.isEmpty():
