@@ -13,8 +13,8 @@ come last, by their number of texts, the rest by hash.
 
 Within a first-level node, in this order:
 
-1. each member is compared with one of the first members of its nodes, that which it shares most nodes with, and
-   the links found are merged into components.  This only saves work: pairs of one component need no visit later.
+1. each member is compared with four of the first members of its nodes, those it shares most nodes with, and the
+   links found are merged into components.  This only saves work: pairs of one component need no visit later.
 2. Nodes that still hold several components are searched completely: members are dealt to nodes of `block` by
    size (large components to nodes of their own), and below these stands a signature tree.  All nodes hold
    the OR of their members' token bitmaps, their size range and their component if it is one.  A dual
@@ -488,9 +488,10 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
         return enough(found.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("need").alias("need")).where("need IS NULL OR c >= need").drop("need"))
 
     unknown = F.lit(None).cast("int").alias("need")
-    # each member with one of the first members it meets, that of the most nodes
-    heads = firsts.where("m > 2").groupBy("a", "b").agg(F.count("*").alias("c")).groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("h"))
-    heads = heads.select((-F.col("h.a")).alias("a"), "b", "h.c")
+    # each member with the four of the first members it meets that it shares most nodes with; it has as many as first shingles at most
+    heads = firsts.where("m > 2").groupBy("a", "b").agg(F.count("*").alias("c"))
+    heads = heads.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", (-F.col("a")).alias("a"))), asc=False), 1, 4).alias("h"))
+    heads = heads.select("b", F.explode("h").alias("h")).select((-F.col("h.a")).alias("a"), "b", "h.c")
     seeds = checkpoint(enough(heads), narrow=True)
     links = checkpoint(linked(seeds, docs, width, num, den), narrow=True)
     ids = groups.select(F.col("id").alias("v"))
