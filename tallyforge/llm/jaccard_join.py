@@ -15,11 +15,16 @@ Within a first-level node, in this order:
 
 1. each member is compared with four of the first members of its nodes, those it shares most nodes with, and the
    links found are merged into components.  This only saves work: pairs of one component need no visit later.
+   In nodes of more than `block / 8` members each one is then compared with four of the partners that step 2 leaves
+   it, two that look nearest and two by hash, and links are merged again: a group of near copies whose links are
+   dense becomes a component before its pairs are listed, and what it lists are pairs that hardly link.
 2. Nodes that still hold several components are searched completely: members are dealt to nodes of `block` by
    size (large components to nodes of their own), and below these stands a signature tree.  All nodes hold
    the OR of their members' token bitmaps, their size range and their component if it is one.  A dual
    traversal leaves a pair of nodes out when both lie in one component, when the sizes exclude the
    threshold, or when the greatest possible overlap, seen from the bits that the other lacks, is too small.
+   Members of nodes of more than `block / 8` carry the names of their first such nodes, so that a pair which meets in
+   many of them is listed in one, with their number.
 3. A pair found in c first-level nodes shares c shingles among both sides' first ones, and beyond the first ones of
    one side only that side's other shingles can be shared; where these are too few, the pair goes.
 
@@ -45,6 +50,8 @@ BITS = 1024
 _COUNTED = _U(3 << 60)
 #: High bits of a shingle's hash that name it in counts and in the first level.  Two shingles of one name share a node there, no more.
 _COUNT_BITS, _NODE_BITS = 40, 48
+#: Names of crowded nodes that a member carries at most; a pair is listed once for these and once for each further one.
+LISTED = 96
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -350,7 +357,7 @@ def _bits(column: pa.Array, n: int) -> np.ndarray:
 
 
 def _dealt(members: DataFrame, block: int) -> DataFrame:
-    """members(key, id, n, lost, bits, label) with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
+    """members(key, id, n, lost, bits, label, keys) with `node`: a range of sizes of about `block` members; a component larger than that has ranges of its own."""
     of_large = members.groupBy("key", "label", "n").agg(F.count("*").alias("m"))
     of_large = checkpoint(of_large, narrow=True)
     own = of_large.groupBy("key", "label").agg(F.sum("m").alias("all")).where(F.col("all") > block).select("key", "label", F.col("label").alias("part"))
@@ -360,7 +367,7 @@ def _dealt(members: DataFrame, block: int) -> DataFrame:
     spans = checkpoint(spans.withColumn("part", F.coalesce("part", F.lit(-1))), narrow=True)
     parts = members.join(own, ["key", "label"], "left").withColumn("part", F.coalesce("part", F.lit(-1)))  # a component's label is 0 or more
     node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id"), F.col("split")))
-    return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "lost", "bits", "label")
+    return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "lost", "bits", "label", "keys")
 
 
 def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
@@ -413,42 +420,98 @@ def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
     return tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
 
 
-def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den: int) -> DataFrame:
-    """(a, b, need) of pairs of different components under a key that may reach the threshold, a row for each key, from members(key, id, n, lost, bits, label).
-
-    large(key) are the keys with more than `block` members.  `need` is in how many nodes a pair must be found; see `likely`.
+def _common(key: int, keys: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For how many nodes each pair of rows counts in the node `key`: all names that both list in the least of these, none in the others, and one in a node that they don't both list."""
+    names, code = np.unique(keys, return_inverse=True)
+    has = np.zeros((len(keys), -(-len(names) // 64) * 64), bool)
+    has[np.arange(len(keys))[:, None], code.reshape(keys.shape)] = True
+    has[:, : np.searchsorted(names, 0)] = False  # what fills short lists
+    at = int(np.searchsorted(names, key))
+    if at == len(names) or names[at] != key:
+        return np.ones(len(x), np.int64)
+    lower = np.zeros(has.shape[1], bool)
+    lower[:at] = True
+    lower, bits = (np.packbits(z, axis=-1).view(np.uint64) for z in (lower, has))
+    out = np.ones(len(x), np.int64)
+    for k in range(0, len(x), 8192):
+        i, j = x[k : k + 8192], y[k : k + 8192]
+        both = bits[i] & bits[j]
+        count = np.where((both & lower).any(1), 0, np.bitwise_count(both).sum(1))
+        out[k : k + 8192] = np.where(has[i, at] & has[j, at], count, 1)
+    return out
+
+
+def _chosen(ids: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """(a, b, alike, draw): of the pairs of rows (x, y), each a's partner b that looks nearest by the bitmaps, and the one of the least hash."""
+    alike = np.zeros(len(x))
+    for k in range(0, len(x), 65536):
+        p, q = bits[x[k : k + 65536]], bits[y[k : k + 65536]]
+        alike[k : k + 65536] = np.bitwise_count(p & q).sum(1) / np.maximum(1, np.bitwise_count(p | q).sum(1))
+    low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+    draw = (mix(mix(low.astype(np.uint64)) + high.astype(np.uint64)) >> _U(1)).astype(np.int64)
+    a, b, alike, draw = np.concatenate([ids[x], ids[y]]), np.concatenate([ids[y], ids[x]]), np.tile(alike, 2), np.tile(draw, 2)
+    take = []
+    for order in (np.lexsort((draw, -alike, a)), np.lexsort((draw, a))):
+        take.append(order[np.flatnonzero(np.diff(a[order], prepend=-1))])
+    take = np.unique(np.concatenate(take))
+    return pa.RecordBatch.from_arrays([pa.array(z[take]) for z in (a, b, alike, draw)], names=["a", "b", "alike", "draw"])
+
+
+def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den: int, some: bool = False) -> DataFrame:
+    """(a, b, need, c) of pairs of different components under a key that may reach the threshold, from members(key, id, n, lost, bits, label, keys).
+
+    large(key) are the keys with more than `block` members; `keys` are ascending names of crowded keys, or none.  `c`
+    is for how many keys a row counts, `need` in how many a pair must be found; see `likely`.  With `some`,
+    (a, b, alike, draw): two of each member's partners in each batch at most, see `_chosen`.
     """
     own = F.lit(0).cast("long")
-    rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "lost", "label", "bits")
+    rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "lost", "label", "bits", "keys")
     if not large.isEmpty():
         large = checkpoint(large, narrow=True)
         dealt = checkpoint(_dealt(checkpoint(members.join(large, "key")), block))
         tasks = node_pairs(dealt, num, den)
         rows = rows.join(large, "key", "left_anti").select(rows.columns).unionAll(tasks.join(dealt, ["key", "node"]).select(rows.columns))
 
+    def listed(column: pa.Array) -> np.ndarray:
+        """Lists of names, filled up with -1."""
+        ends = np.asarray(column.offsets)
+        size = np.diff(ends)
+        out = np.full((len(size), int(size.max(initial=0))), -1, np.int64)
+        out[np.repeat(np.arange(len(size)), size), np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], size)] = np.asarray(column.flatten())
+        return out
+
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted rows of many tasks; a task's rows lie together, and only the last one's wait for the next batch."""
         held: list[np.ndarray] | None = None
 
         def pairs(part: list[np.ndarray]) -> pa.RecordBatch:
-            task, node, ids, n, lost, label, bits = part
+            task, node, ids, n, lost, label, bits, keys = part
             cuts = np.concatenate([[0], np.flatnonzero((task[1:] != task[:-1]).any(1)) + 1, [len(task)]])
             places = np.arange(len(ids))
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            none = np.zeros(0, np.int64)
+            found, counts = [(none, none)], [none]
             for i, j in zip(cuts[:-1], cuts[1:]):
                 if j - i < 2:
                     continue
                 trees = [SignatureTree(places[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in (node[i:j] == x for x in dict.fromkeys(task[i, 1:])) if m.any()]
-                found += trees[0].pairs(trees[-1], num, den)
+                crowded = keys.shape[1] > 0 and bool((keys[i:j] >= 0).any())
+                for x, y in trees[0].pairs(trees[-1], num, den):
+                    c = _common(int(task[i, 0]), keys[i:j], x - i, y - i) if crowded else np.ones(len(x), np.int64)
+                    found.append((x[c > 0], y[c > 0]))
+                    counts.append(c[c > 0])
             x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            if some:
+                return _chosen(ids, bits, x, y)
             rest = -(-num * n // den) - 1
             need = np.maximum(1, -(-num * (n[x] + n[y]) // (den + num)) - np.maximum(rest[x], rest[y]) - np.maximum(lost[x], lost[y]))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(need.astype(np.int32))], names=["a", "b", "need"])
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(need.astype(np.int32)), pa.array(np.concatenate(counts))], names=["a", "b", "need", "c"])
 
         for batch in batches:
             numbers = [np.asarray(batch.column(k)).astype(np.int64) for k in range(8)]
-            part = [np.stack(numbers[:3], axis=1), *numbers[3:], _bits(batch.column(8), batch.num_rows)]
+            part = [np.stack(numbers[:3], axis=1), *numbers[3:], _bits(batch.column(8), batch.num_rows), listed(batch.column(9))]
             if held is not None:
+                wide = max(held[-1].shape[1], part[-1].shape[1])
+                held[-1], part[-1] = (np.pad(z, ((0, 0), (0, wide - z.shape[1])), constant_values=-1) for z in (held[-1], part[-1]))
                 part = [np.concatenate(x) for x in zip(held, part)]
             last = int(np.flatnonzero((part[0] != part[0][-1]).any(1)).max(initial=-1)) + 1 if len(part[0]) else 0
             if last:
@@ -458,7 +521,8 @@ def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den:
             yield pairs(held)
 
     order = ("key", "x_node", "y_node")
-    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), "a long, b long, need int")
+    kind = "a long, b long, alike double, draw long" if some else "a long, b long, need int, c long"
+    return rows.repartition(*order).sortWithinPartitions(*order).mapInArrow(tidied(traverse), kind)
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least: int, most: int) -> tuple[DataFrame, DataFrame]:
@@ -484,32 +548,54 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
         return both.where(fits & (F.col("c") >= need)).select("a", "b", "text_a", "text_b")
 
     def likely(found: DataFrame) -> DataFrame:
-        """The same of the pairs (a, b, need), a row for each node that holds both.  Pairs whose need is known are counted and left out before anything is joined to them."""
-        return enough(found.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("need").alias("need")).where("need IS NULL OR c >= need").drop("need"))
+        """The same of the pairs (a, b, need, c), in rows for the nodes that hold both.  Pairs whose need is known are counted and left out before anything is joined to them."""
+        return enough(found.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need")).where("need IS NULL OR c >= need").drop("need"))
 
-    unknown = F.lit(None).cast("int").alias("need")
+    def label(x: str) -> DataFrame:
+        return labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
+
+    def merged(pairs: DataFrame) -> DataFrame:
+        """The labels after the links among pairs(a, b, text_a, text_b); what is new are links of whole components."""
+        more = checkpoint(linked(pairs, docs, width, num, den), narrow=True)
+        between = more.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        to = components(labels.select(F.col("label").alias("v")).distinct(), between).select(F.col("v").alias("label"), F.col("label").alias("to"))
+        return checkpoint(labels.join(to, "label").select("v", F.col("to").alias("label")), narrow=True)
+
+    def members(of: DataFrame) -> DataFrame:
+        """(key, id, n, lost, bits, label, keys) of the entries of(key, id, m) under keys with several components."""
+        first = checkpoint(of.join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
+        open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
+        first = checkpoint(first.join(open_keys, "key"), narrow=True)
+        lists = first.where(crowded).groupBy("id").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LISTED).alias("keys"))  # no more than its first shingles
+        keys = F.when(crowded, F.col("keys")).otherwise(F.array().cast("array<long>"))
+        return first.join(groups.select("id", "n", "lost", "bits"), "id").join(lists, "id", "left").select("key", "id", "n", "lost", "bits", "label", keys.alias("keys"))
+
+    unknown, crowded = F.lit(None).cast("int").alias("need"), F.col("m") > max(2, block // 8)
     # each member with the four of the first members it meets that it shares most nodes with; it has as many as first shingles at most
     heads = firsts.where("m > 2").groupBy("a", "b").agg(F.count("*").alias("c"))
     heads = heads.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", (-F.col("a")).alias("a"))), asc=False), 1, 4).alias("h"))
     heads = heads.select("b", F.explode("h").alias("h")).select((-F.col("h.a")).alias("a"), "b", "h.c")
     seeds = checkpoint(enough(heads), narrow=True)
     links = checkpoint(linked(seeds, docs, width, num, den), narrow=True)
-    ids = groups.select(F.col("id").alias("v"))
-    labels = checkpoint(components(ids, links), narrow=True)
-    label = lambda x: labels.select(F.col("v").alias(x), F.col("label").alias(f"label_{x}"))
-    first = checkpoint(entries.where("m > 2").select("key", "id").join(labels.withColumnRenamed("v", "id"), "id"), narrow=True)
-    open_keys = first.groupBy("key").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("key")
-    members = first.join(open_keys, "key").join(groups.select("id", "n", "lost", "bits"), "id")
+    labels = checkpoint(components(groups.select(F.col("id").alias("v")), links), narrow=True)
+    seeds = seeds.select("a", "b")
+    shared = entries.where("m > 2").select("key", "id", "m")
     large = entries.where(F.col("m") > block).select("key").distinct()
-    found = cross_pairs(members, large, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown))
-    pairs = likely(found).join(seeds.select("a", "b"), ["a", "b"], "left_anti").join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b")
+    if not shared.where(crowded).isEmpty():
+        some = cross_pairs(members(shared.where(crowded)), large, block, num, den, some=True)
+        two = lambda x: F.slice(F.sort_array(F.collect_set(F.struct(x.alias("x"), "b"))), 1, 2)["b"]
+        some = some.groupBy("a").agg(F.array_union(two(-F.col("alike")), two(F.col("draw"))).alias("b"))
+        some = some.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        some = some.join(seeds, ["a", "b"], "left_anti")
+        side = lambda x: groups.select(F.col("id").alias(x), F.struct("doc_id", "hi", "lo").alias(f"text_{x}"))
+        some = checkpoint(some.join(side("a"), "a").join(side("b"), "b"), narrow=True)
+        if not some.isEmpty():
+            labels, seeds = merged(some), seeds.unionAll(some.select("a", "b"))
+    found = cross_pairs(members(shared), large, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown, F.lit(1).cast("long").alias("c")))
+    pairs = likely(found).join(seeds, ["a", "b"], "left_anti").join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b")
     pairs = checkpoint(pairs.select("a", "b", "text_a", "text_b"), narrow=True)
     if not pairs.isEmpty():
-        # what is new are links of whole components
-        more = checkpoint(linked(pairs, docs, width, num, den), narrow=True)
-        between = more.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-        merged = components(labels.select(F.col("label").alias("v")).distinct(), between).select(F.col("v").alias("label"), F.col("label").alias("to"))
-        labels = checkpoint(labels.join(merged, "label").select("v", F.col("to").alias("label")), narrow=True)
+        labels = merged(pairs)
     sets = groups.select("hi", "lo", "doc_id", F.col("id").alias("v")).join(labels, "v").select("hi", "lo", "doc_id", "label")
     names = sets.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return set_rows(docs, width), sets.join(names, "label").select("hi", "lo", "label", "component_id")

@@ -48,6 +48,57 @@ def test_frequent_shingles_change_no_link(spark):
     assert got == jaccard_groups(rows)
 
 
+def test_a_large_group_of_near_copies_lists_few_pairs(spark, monkeypatch):
+    """Most of its pairs link or nearly do; texts of a few for each member are compared, and a pair is listed once for all its nodes."""
+    rng, base, rows = random.Random(9), [f"w{i}" for i in range(150)], []
+    for k in range(240):
+        words = list(base)
+        for _ in range(rng.choice((2, 2, 3, 4))):
+            words[rng.randrange(150)] = f"x{k}y{rng.randrange(1000)}"
+        rows.append((k, " ".join(words)))
+    listed, compared, cross, linked = [], [], jaccard_join.cross_pairs, jaccard_join.linked
+
+    def counted(*args, **more):
+        out = cross(*args, **more).cache()
+        listed.append((out.count(), out.select("a", "b").distinct().count()))
+        return out
+
+    def verified(pairs, *args):
+        compared.append(pairs.count())
+        return linked(pairs, *args)
+
+    monkeypatch.setattr(jaccard_join, "cross_pairs", counted)
+    monkeypatch.setattr(jaccard_join, "linked", verified)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(documents(spark, rows)).collect()}
+    assert got == jaccard_groups(rows)
+    assert sum(compared) < 20 * len(rows), compared
+    assert listed[-1][0] < 2 * listed[-1][1] + len(rows), listed
+
+
+def test_a_pair_counts_once_for_all_listed_nodes():
+    import numpy as np
+
+    rng = random.Random(2)
+    for listed in (3, 100):
+        nodes = [sorted(rng.sample(range(30), rng.randrange(1, 12))) for _ in range(20)]
+        pairs = np.array([(i, j) for i in range(20) for j in range(i)])
+        total = np.zeros(len(pairs), int)
+        times = np.zeros(len(pairs), int)
+        for key in range(30):
+            here = [k for k in range(20) if key in nodes[k]]
+            place = {k: i for i, k in enumerate(here)}
+            at = [p for p, (i, j) in enumerate(pairs) if i in place and j in place]
+            if at:
+                keys = np.full((len(here), 12), -1)
+                for k, i in place.items():
+                    keys[i, : len(nodes[k][:listed])] = nodes[k][:listed]
+                c = jaccard_join._common(key, keys, *(np.array([place[k] for k in pairs[at, side]]) for side in (0, 1)))
+                total[at] += c
+                times[at] += c > 0
+        both = np.array([len({*nodes[i]} & {*nodes[j]}) for i, j in pairs])
+        assert (total == both).all() and (listed == 3 or times.max() == 1)
+
+
 def test_a_doc_id_with_several_texts(spark):
     """A row for each row given, each linked by its own text."""
     near = " ".join(f"w{k}" for k in range(40))
