@@ -135,10 +135,16 @@ def repair(row: list[str]) -> list[str]:
     return row
 
 
-def parse(source: str, max_rows: int = 250) -> tuple[list[dict], list[dict]]:
-    """(nodes, table rows) of a document; nodes in document order, rows of each table, nested ones' rows included."""
+def parse(source: str, max_rows: int = 250, references: tuple[str, ...] | None = None) -> tuple[list[dict], list[dict]]:
+    """(nodes, table rows) of a document; nodes in document order, rows of each table, nested ones' rows included.
+
+    Of character references only the named ones are decoded, and only with their `;`; all, as browsers do, without names.
+    """
     b = _Builder()
-    b.feed(source or "")
+    source = source or ""
+    if references is not None:
+        source = re.sub(rf"&(?!(?:{'|'.join(references)});)", "&amp;", source)
+    b.feed(source)
     b.close()
     table_at = {t["node"]: k for k, t in enumerate(b.tables)}
     nodes = [{"pos": i, "tag": n["tag"], "parent": n["parent"], "in_table": n["table"], "is_table": table_at.get(i, -1), "text": _clean(n["text"]), "href": n["attrs"].get("href") or "", "style": n["attrs"].get("style") or ""} for i, n in enumerate(b.nodes)]
@@ -167,7 +173,7 @@ _NODES = "array<struct<pos:int,tag:string,parent:int,in_table:int,is_table:int,t
 _ROWS = "array<struct<table_idx:int,row_idx:int,cells:array<string>,marks:array<string>>>"
 
 
-def parsed(documents: DataFrame, *keys: str, max_rows: int = 250) -> DataFrame:
+def parsed(documents: DataFrame, *keys: str, max_rows: int = 250, references: tuple[str, ...] | None = None) -> DataFrame:
     """(keys, nodes, rows) of documents(keys, html): the only Python step; each document is parsed once."""
     kept = documents.select(*keys, "html")
     out = kept.select(*keys).schema
@@ -178,7 +184,7 @@ def parsed(documents: DataFrame, *keys: str, max_rows: int = 250) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 16):
                 part = batch.slice(k, 16)
-                found = [parse(x, max_rows) for x in part.column(part.num_columns - 1).to_pylist()]
+                found = [parse(x, max_rows, references) for x in part.column(part.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([f[0] for f in found], kind_n), pa.array([f[1] for f in found], kind_r)], names=[*keys, "nodes", "rows"])
 
     from pyspark.sql.types import _parse_datatype_string as kind
