@@ -1,11 +1,11 @@
-"""HTML extraction: by the page's own structure where it marks its article, else by nearest-URL page differencing.
-
-Where a page marks its article (or main part), its structure alone decides: lines outside the article and lines
-whose elements say that they are page furniture are deleted, and nothing is compared.  Only a page without such
-marks is paired with the page of the nearest URL path on its host: both pages' text lines are aligned by a
-longest common subsequence, and shared lines are deleted, as is declared furniture.  Differencing can't decide on
-marked pages: a page that repeats its neighbour's article would lose it, and a menu or an advert that
-changes from page to page is shared with no neighbour.
+"""HTML extraction by nearest-URL page differencing, held to the page's own structure where it marks its article.
+
+Every page is paired with the pages of the nearest URL paths on its host: both pages' text lines are aligned by a
+longest common subsequence, and shared lines are deleted, as is declared furniture.  How much it takes to delete a line
+depends on the marks.  On a page without any, sharing with the nearest page that is no copy is enough.  Where a page
+marks its article (or main part), lines outside go, shared or not, as a menu or an advert may change from page to page;
+lines inside are protected, as articles repeat lines of their neighbours by chance or as quotations, and go only if
+every neighbour that is no copy shares them, of which there must be several: notices that nothing declares.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ _ATTR = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+
 _OPAQUE = frozenset("script style title template textarea noscript iframe object svg math xmp noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr output progress q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Elements and roles of page furniture.
 _FURNITURE = frozenset("nav footer aside form header menu button select dialog fieldset input option datalist optgroup".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar status toolbar".split())
@@ -46,6 +47,7 @@ class Page:
     slot: list[int]  # a number for the containers around each line
     inside: list[bool]  # within the article
     furniture: list[bool]
+    heading: list[bool]
 
 
 def _names_furniture(name: str) -> bool:
@@ -67,7 +69,7 @@ def _odd(tag: str, attrs: str) -> bool:
 
 def parse(source: str) -> Page:
     """The page's blocks in order; white space in a block is one space, character references are decoded."""
-    page = Page([], [], [], [])
+    page = Page([], [], [], [], [])
     open_tags: list[tuple[str, bool, int, int]] = []  # name, furniture, kind: 2 article, 1 main; number of the containers down to it
     depth: dict[str, int] = {}  # open elements by name
     text: list[str] = []
@@ -82,6 +84,7 @@ def parse(source: str) -> Page:
                 page.lines.append(line)
                 page.slot.append(open_tags[-1][3] if open_tags else 0)
                 page.furniture.append(state[0] > 0)
+                page.heading.append(any(map(depth.get, _HEADINGS)))
                 kinds.append(2 if state[2] else 1 if state[1] else 0)
 
     def add(raw: str) -> None:
@@ -190,14 +193,33 @@ def shared_lines(a: list[tuple[str, str]], b: list[tuple[str, str]]) -> list[boo
     return out
 
 
-def main_lines(page: Page, neighbours: list[Page], whole: float = 0.9) -> list[str]:
-    """The page's main text against its neighbours, the nearest first; a page that marks its article is not compared.
+def repeated(page: Page, own: list[int], neighbours: list[Page], part: float, least: int) -> list[bool]:
+    """Which lines `own` of a marked article every neighbour shares, except those that share `part` of its characters or more, of which `least` must be left.
+
+    Headings stay: articles of a site often have the same ones.
+    """
+    out = [len(neighbours) >= least and not page.heading[k] for k in own]
+    keys = [(page.slot[k], page.lines[k]) for k in own]
+    text, compared = sum(len(x) for _, x in keys), 0
+    for k, other in enumerate(neighbours):
+        if not any(out) or compared + len(neighbours) - k < least:
+            return [False] * len(own)
+        shared = shared_lines(keys, [(s, x) for s, x, inside, f in zip(other.slot, other.lines, other.inside, other.furniture) if inside and not f])
+        if sum(len(x) for (_, x), s in zip(keys, shared) if s) < part * text:
+            out, compared = [x and s for x, s in zip(out, shared)], compared + 1
+    return out if compared >= least else [False] * len(own)
+
+
+def main_lines(page: Page, neighbours: list[Page], whole: float = 0.9, part: float = 0.5, least: int = 4) -> list[str]:
+    """The page's main text against its neighbours, the nearest first.
 
     A neighbour that shares `whole` of the characters outside furniture, or more, is a copy: the next one is tried
-    instead, and where all are copies nothing is deleted for being shared.
+    instead, and where all are copies nothing is deleted for being shared.  Lines of a marked article need more to go,
+    see `repeated`; with fewer than `least` neighbours they all stay.
     """
     if any(page.inside):
-        return [x for x, f, inside in zip(page.lines, page.furniture, page.inside) if inside and not f]
+        own = [k for k, (f, inside) in enumerate(zip(page.furniture, page.inside)) if inside and not f]
+        return [page.lines[k] for k, s in zip(own, repeated(page, own, neighbours, part, least)) if not s]
     keys = list(zip(page.slot, page.lines))
     text = sum(len(x) for x, f in zip(page.lines, page.furniture) if not f)
     for other in neighbours:
@@ -292,7 +314,7 @@ def extract(pages: DataFrame, near: int = 4, most_parts: int = 512, part_rows: i
     shares the longest beginning of the path first, then the closest, the one before if equal: the
     first of them is the nearest of the whole host.  Pages are dealt out by ranges of host and path, with the pages
     at each range's borders, so a host of any size is split, and a task holds 2 * near + 1 pages at a
-    time.  A page alone on its host is judged by its structure alone.  Null or empty html has no text; null urls
+    time.  A page alone on its host is judged by its structure alone, lines inside a marked article by it and all those neighbours.  Null or empty html has no text; null urls
     share an empty host and path.  Repeated rows and copies of a page keep their text: see `main_lines`.
     """
     rows = columns(pages, "page_id", "url", "html")

@@ -56,6 +56,18 @@ def test_marked_pages_are_not_compared(monkeypatch):
     assert html_text.main_lines(one, [two]) == ["One", "Both"]
 
 
+def test_undeclared_notices_in_marked_articles_go(spark):
+    """A line that every neighbour's article has, of four or more that are no copies; headings, copies and what one neighbour lacks stay."""
+    story = lambda k: f"<h2>Summary</h2><p>Story {k} {'is its own. ' * 5}</p><p>Read more on our site.</p>" + ("<p>Often said.</p>" if k != 3 else "") + f"<p>End {k}.</p>"
+    rows = [(k, f"http://h.example/a/1{k}", page(story(k))) for k in range(6)] + [(k, f"http://few.example/a/1{k}", page(story(k))) for k in range(10, 14)]
+    rows += [(k, f"http://copies.example/a/{k}", page("<p>Same words everywhere.</p><p>Twice.</p>")) for k in range(20, 27)]
+    got = {k: t.split("\n\n") for k, (t, _) in texts_of(spark, rows).items()}
+    for k in range(6):
+        assert got[k] == ["Summary", f"Story {k} {'is its own. ' * 5}".strip(), *(["Often said."] if k != 3 else []), f"End {k}."]
+    assert all("Read more on our site." in got[k] for k in range(10, 14))  # three neighbours
+    assert all(got[k] == ["Same words everywhere.", "Twice."] for k in range(20, 27))
+
+
 def test_copies_of_pages_without_marks_stay(spark):
     plain = lambda own: f"<body><div>Site name</div><div>Latest news</div>{own}<div>Contact us</div></body>"
     story, other = (f"{name} story. " + "It is long. " * 30 for name in ("One", "Another"))
