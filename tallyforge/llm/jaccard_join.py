@@ -52,6 +52,8 @@ _COUNTED = _U(3 << 60)
 _COUNT_BITS, _NODE_BITS = 40, 48
 #: Names of crowded nodes that a member carries at most; a pair is listed once for these and once for each further one.
 LISTED = 96
+#: In how many of these partners are looked for before pairs are listed.
+SAMPLED = 16
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +368,7 @@ def _dealt(members: DataFrame, block: int) -> DataFrame:
     spans = sizes.select("key", "part", "n", F.floor(F.coalesce(F.sum("m").over(before), F.lit(0)) / block).alias("span"), F.ceil(F.col("m") / block).alias("split"))
     spans = checkpoint(spans.withColumn("part", F.coalesce("part", F.lit(-1))), narrow=True)
     parts = members.join(own, ["key", "label"], "left").withColumn("part", F.coalesce("part", F.lit(-1)))  # a component's label is 0 or more
-    node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id"), F.col("split")))
+    node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id", "key"), F.col("split")))  # members meet others under each key
     return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "lost", "bits", "label", "keys")
 
 
@@ -469,8 +471,11 @@ def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den:
     if not large.isEmpty():
         large = checkpoint(large, narrow=True)
         dealt = checkpoint(_dealt(checkpoint(members.join(large, "key")), block))
-        tasks = node_pairs(dealt, num, den)
-        rows = rows.join(large, "key", "left_anti").select(rows.columns).unionAll(tasks.join(dealt, ["key", "node"]).select(rows.columns))
+        if some:  # nodes by themselves, so that a member is in one task for each key
+            in_tasks = dealt.withColumns({"x_node": F.col("node"), "y_node": F.col("node")})
+        else:
+            in_tasks = node_pairs(dealt, num, den).join(dealt, ["key", "node"])
+        rows = rows.join(large, "key", "left_anti").select(rows.columns).unionAll(in_tasks.select(rows.columns))
 
     def listed(column: pa.Array) -> np.ndarray:
         """Lists of names, filled up with -1."""
@@ -494,7 +499,7 @@ def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den:
                 if j - i < 2:
                     continue
                 trees = [SignatureTree(places[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in (node[i:j] == x for x in dict.fromkeys(task[i, 1:])) if m.any()]
-                crowded = keys.shape[1] > 0 and bool((keys[i:j] >= 0).any())
+                crowded = keys.shape[1] > 0 and not some and bool((keys[i:j] >= 0).any())
                 for x, y in trees[0].pairs(trees[-1], num, den):
                     c = _common(int(task[i, 0]), keys[i:j], x - i, y - i) if crowded else np.ones(len(x), np.int64)
                     found.append((x[c > 0], y[c > 0]))
@@ -582,7 +587,8 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     shared = entries.where("m > 2").select("key", "id", "m")
     large = entries.where(F.col("m") > block).select("key").distinct()
     if not shared.where(crowded).isEmpty():
-        some = cross_pairs(members(shared.where(crowded)), large, block, num, den, some=True)
+        some = members(shared.where(crowded)).where(F.array_position("keys", F.col("key")).between(1, SAMPLED))
+        some = cross_pairs(some, large, block, num, den, some=True)
         two = lambda x: F.slice(F.sort_array(F.collect_set(F.struct(x.alias("x"), "b"))), 1, 2)["b"]
         some = some.groupBy("a").agg(F.array_union(two(-F.col("alike")), two(F.col("draw"))).alias("b"))
         some = some.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
