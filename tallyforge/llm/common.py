@@ -6,6 +6,7 @@ text.  Every separator used here is ASCII, so words found on bytes are the words
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -245,12 +246,28 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What queries planned meanwhile have shuffled goes when they end; else it stays until the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def checkpoint(df: DataFrame, narrow: bool = False) -> DataFrame:
-    """Written to the shared folder and read from there.  Tables of a few numbers a row make an eighth of the usual number of files."""
-    ensure_checkpoints(df.sparkSession)
-    if narrow:
-        df = df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
-    return df.checkpoint(eager=True)
+    """Written to the shared folder and read from there; its shuffle files go.  Tables of a few numbers a row make an eighth of the usual number of files."""
+    spark = df.sparkSession
+    ensure_checkpoints(spark)
+    with shuffles_removed(spark):  # a plan of its own, so that the caller's shuffles stay
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if narrow else df.select("*")
+        return df.checkpoint(eager=True)
 
 
 def filter_rows(df: DataFrame, columns: tuple[str, ...], make: Callable[[], Callable[..., np.ndarray]]) -> DataFrame:

@@ -23,8 +23,9 @@ Within a first-level node, in this order:
    the OR of their members' token bitmaps, their size range and their component if it is one.  A dual
    traversal leaves a pair of nodes out when both lie in one component, when the sizes exclude the
    threshold, or when the greatest possible overlap, seen from the bits that the other lacks, is too small.
-   Members of nodes of more than `block / 8` carry the names of their first such nodes, so that a pair which meets in
-   many of them is listed in one, with their number.
+   Members of nodes of more than `block / 8` carry the names of their first such nodes, smaller ones first, so that a
+   pair which meets in many of them is listed in one, with their number.  As a pair needs a number of common names
+   that follows from its sizes (see 3), members don't go to tasks of nodes under which too few of their names are left.
 3. A pair found in c first-level nodes shares c shingles among both sides' first ones, and beyond the first ones of
    one side only that side's other shingles can be shared; where these are too few, the pair goes.
 
@@ -52,6 +53,7 @@ _COUNTED = _U(3 << 60)
 _COUNT_BITS, _NODE_BITS = 40, 48
 #: Names of crowded nodes that a member carries at most; a pair is listed once for these and once for each further one.
 LISTED = 96
+_UNBOUNDED = 1 << 40
 #: In how many of these partners are looked for before pairs are listed.
 SAMPLED = 16
 
@@ -369,12 +371,12 @@ def _dealt(members: DataFrame, block: int) -> DataFrame:
     spans = checkpoint(spans.withColumn("part", F.coalesce("part", F.lit(-1))), narrow=True)
     parts = members.join(own, ["key", "label"], "left").withColumn("part", F.coalesce("part", F.lit(-1)))  # a component's label is 0 or more
     node = F.xxhash64("part", "span", F.pmod(F.xxhash64("id", "key"), F.col("split")))  # members meet others under each key
-    return parts.join(spans, ["key", "part", "n"]).select("key", node.alias("node"), "id", "n", "lost", "bits", "label", "keys")
+    return parts.join(spans, ["key", "part", "n"]).select(node.alias("node"), *members.columns)
 
 
 def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
-    """(key, node, x_node, y_node): the pairs of nodes of dealt(key, node, n, bits, label) to be visited, a row for each node of a pair."""
-    kind = "key long, node long, low long, high long, c0 long, c1 long, least long, bits array<long>"
+    """(key, node, x_node, y_node, low, high, slack): the pairs of nodes of dealt(key, node, n, lost, bits, label, keys) to be visited, a row for each node of a pair with the other one's sizes and greatest `lost`."""
+    kind = "key long, node long, low long, high long, c0 long, c1 long, least long, slack long, bits array<long>"
     names = [x.split()[0] for x in kind.split(", ")]
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,43 +385,63 @@ def node_pairs(dealt: DataFrame, num: int, den: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node, n, label = (np.asarray(batch.column(k)) for k in range(4))
-            bits = _bits(batch.column(4), batch.num_rows)
+            key, node, n, label, slack = (np.asarray(batch.column(k)) for k in range(5))
+            bits = _bits(batch.column(5), batch.num_rows)
             ones = np.bitwise_count(bits).sum(1).astype(np.int64)
-            rows = [key, node, n, n, label, label, ones, bits]
+            rows = [key, node, n, n, label, label, ones, slack, bits]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
             cuts = np.concatenate([[0], np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1])
             least, most = np.minimum.reduceat, np.maximum.reduceat
-            out = [rows[0][cuts], rows[1][cuts], *(f(x, cuts) for f, x in zip((least, most, least, most, least), rows[2:7])), np.bitwise_or.reduceat(rows[7], cuts, axis=0)]
+            out = [rows[0][cuts], rows[1][cuts], *(f(x, cuts) for f, x in zip((least, most, least, most, least, most), rows[2:8])), np.bitwise_or.reduceat(rows[8], cuts, axis=0)]
             held = [x[-1:] for x in out]
             yield packed([x[:-1] for x in out])
         if held is not None:
             yield packed(held)
 
     def packed(rows: list[np.ndarray]) -> pa.RecordBatch:
-        words = rows[7].view(np.int64).ravel()
-        return pa.RecordBatch.from_arrays([*map(pa.array, rows[:7]), pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, BITS // 64), pa.int32()), pa.array(words))], names=names)
+        words = rows[8].view(np.int64).ravel()
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows[:8]), pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, BITS // 64), pa.int32()), pa.array(words))], names=names)
 
-    nodes = dealt.select("key", "node", "n", "label", "bits").repartition("key", "node").sortWithinPartitions("key", "node").mapInArrow(tidied(summary), kind)
+    slack = F.when(F.size("keys") >= LISTED, F.lit(_UNBOUNDED)).otherwise(F.col("lost")).cast("long").alias("slack")
+    nodes = dealt.select("key", "node", "n", "label", slack, "bits").repartition("key", "node").sortWithinPartitions("key", "node").mapInArrow(tidied(summary), kind)
     nodes = checkpoint(nodes, narrow=True)
     left, right = (nodes.select("key", *[F.col(c).alias(f"{x}_{c}") for c in nodes.columns if c != "key"]) for x in "xy")
     one = "x_c0 = x_c1 AND y_c0 = y_c1 AND x_c0 = y_c0"
     sizes = (den * F.col("x_high") >= num * F.col("y_low")) & (den * F.col("y_high") >= num * F.col("x_low"))
-    sides = [f"{x}_{c}" for x in "xy" for c in ("node", "low", "high", "least", "bits")]
+    sides = [f"{x}_{c}" for x in "xy" for c in ("node", "low", "high", "least", "bits", "slack")]
     tasks = left.join(right, "key").where("x_node <= y_node").where(f"NOT ({one})").where(sizes).select("key", *sides)
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose greatest possible overlap, seen from the bits that the other lacks, is enough."""
         for batch in batches:
-            key, x, x_low, x_high, x_least, _, y, y_low, y_high, y_least = (np.asarray(batch.column(k)) if k != 5 else None for k in range(10))
-            shared = np.bitwise_count(_bits(batch.column(5), batch.num_rows) & _bits(batch.column(10), batch.num_rows)).sum(1).astype(np.int64)
+            key, x, x_low, x_high, x_least, x_slack, y, y_low, y_high, y_least, y_slack = (np.asarray(batch.column(k)) for k in range(13) if k not in (5, 11))
+            shared = np.bitwise_count(_bits(batch.column(5), batch.num_rows) & _bits(batch.column(11), batch.num_rows)).sum(1).astype(np.int64)
             most = np.minimum(x_high - np.maximum(0, x_least - shared), y_high - np.maximum(0, y_least - shared))
             ok = (den + num) * most >= num * (x_low + y_low)
-            yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in (key, x, y)], names=["key", "x_node", "y_node"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in (key, x, y, x_low, x_high, x_slack, y_low, y_high, y_slack)], names=out)
 
-    tasks = tasks.mapInArrow(tidied(visited), "key long, x_node long, y_node long")
-    return tasks.select("key", F.explode(F.array_distinct(F.array("x_node", "y_node"))).alias("node"), "x_node", "y_node")
+    out = ["key", "x_node", "y_node", "x_low", "x_high", "x_slack", "y_low", "y_high", "y_slack"]
+    tasks = tasks.mapInArrow(tidied(visited), ", ".join(f"{c} long" for c in out))
+    side = lambda x, y: F.struct(F.col(f"{x}_node").alias("node"), *[F.col(f"{y}_{c}").alias(c) for c in ("low", "high", "slack")])
+    return tasks.select("key", "x_node", "y_node", F.explode(F.array_distinct(F.array(side("x", "y"), side("y", "x")))).alias("s")).select("key", "x_node", "y_node", "s.*")
+
+
+def task_rows(dealt: DataFrame, num: int, den: int) -> DataFrame:
+    """dealt(key, node, id, n, lost, bits, label, keys, met) in a row for each pair of nodes (x_node, y_node) that a member is to be visited in.
+
+    `met` is in how many first-level nodes with others a member lies.  A pair is listed under the least name that both list, so
+    it has no more in common than the names of either side that don't come before: members that have too few of these left
+    for any partner of the other node's sizes don't go to its tasks.  Where the other node has a member whose list is cut off, all go.
+    """
+    met = F.col("met") - F.greatest(F.array_position("keys", F.col("key")) - 1, F.lit(0))
+    tasks = node_pairs(dealt, num, den).withColumnRenamed("node", "own").withColumnRenamed("key", "of")
+    low, high = F.greatest(F.col("low"), F.ceil(num * F.col("n") / den)), F.least(F.col("high"), F.floor(den * F.col("n") / num))
+    # need >= num * (n + m) / (den + num) - num * max(n, m) / den - slack, which is concave in m: its least value is at an end
+    have = den * (den + num) * (met + F.greatest("lost", "slack"))
+    needs = lambda m: num * den * (F.col("n") + m) - num * (den + num) * F.greatest(F.col("n"), m)
+    fits = (low <= high) & ((have >= needs(low)) | (have >= needs(high)))
+    return tasks.join(dealt, (F.col("of") == F.col("key")) & (F.col("own") == F.col("node")) & fits).drop("of", "own", "low", "high", "slack")
 
 
 def _common(key: int, keys: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -459,10 +481,10 @@ def _chosen(ids: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray) ->
     return pa.RecordBatch.from_arrays([pa.array(z[take]) for z in (a, b, alike, draw)], names=["a", "b", "alike", "draw"])
 
 
-def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den: int, some: bool = False) -> DataFrame:
+def cross_pairs(members: DataFrame, large: DataFrame, met: DataFrame, block: int, num: int, den: int, some: bool = False) -> DataFrame:
     """(a, b, need, c) of pairs of different components under a key that may reach the threshold, from members(key, id, n, lost, bits, label, keys).
 
-    large(key) are the keys with more than `block` members; `keys` are ascending names of crowded keys, or none.  `c`
+    large(key) are the keys with more than `block` members, met(id, met) in how many keys a member is; `keys` are ascending names of crowded keys, or none.  `c`
     is for how many keys a row counts, `need` in how many a pair must be found; see `likely`.  With `some`,
     (a, b, alike, draw): two of each member's partners in each batch at most, see `_chosen`.
     """
@@ -470,11 +492,12 @@ def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den:
     rows = members.select("key", own.alias("x_node"), own.alias("y_node"), own.alias("node"), "id", "n", "lost", "label", "bits", "keys")
     if not large.isEmpty():
         large = checkpoint(large, narrow=True)
-        dealt = checkpoint(_dealt(checkpoint(members.join(large, "key")), block))
+        of_large = members.join(large, "key")
+        dealt = checkpoint(_dealt(checkpoint(of_large if some else of_large.join(met, "id")), block))
         if some:  # nodes by themselves, so that a member is in one task for each key
             in_tasks = dealt.withColumns({"x_node": F.col("node"), "y_node": F.col("node")})
         else:
-            in_tasks = node_pairs(dealt, num, den).join(dealt, ["key", "node"])
+            in_tasks = task_rows(dealt, num, den)
         rows = rows.join(large, "key", "left_anti").select(rows.columns).unionAll(in_tasks.select(rows.columns))
 
     def listed(column: pa.Array) -> np.ndarray:
@@ -498,7 +521,10 @@ def cross_pairs(members: DataFrame, large: DataFrame, block: int, num: int, den:
             for i, j in zip(cuts[:-1], cuts[1:]):
                 if j - i < 2:
                     continue
-                trees = [SignatureTree(places[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in (node[i:j] == x for x in dict.fromkeys(task[i, 1:])) if m.any()]
+                parts = [node[i:j] == x for x in dict.fromkeys(task[i, 1:])]
+                if not all(m.any() for m in parts):  # none of a node's members can have a partner in the other
+                    continue
+                trees = [SignatureTree(places[i:j][m], n[i:j][m], bits[i:j][m], label[i:j][m]) for m in parts]
                 crowded = keys.shape[1] > 0 and not some and bool((keys[i:j] >= 0).any())
                 for x, y in trees[0].pairs(trees[-1], num, den):
                     c = _common(int(task[i, 0]), keys[i:j], x - i, y - i) if crowded else np.ones(len(x), np.int64)
@@ -539,7 +565,9 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     groups = checkpoint(groups)
     entries = groups.where("doc_id is not null").select(F.explode("first").alias("key"), "id")
     nodes = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("head")).where("m > 1")
-    entries = checkpoint(entries.join(nodes, "key"))
+    # keys are renamed so that smaller nodes come first in lists
+    entries = checkpoint(entries.join(nodes, "key").withColumn("key", F.shiftleft(F.floor(500 * F.log2("m")), _NODE_BITS) + F.col("key")))
+    met = entries.groupBy("id").agg(F.count("*").alias("met"))
     firsts = entries.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "m")
 
     def enough(counted: DataFrame) -> DataFrame:
@@ -588,7 +616,7 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
     large = entries.where(F.col("m") > block).select("key").distinct()
     if not shared.where(crowded).isEmpty():
         some = members(shared.where(crowded)).where(F.array_position("keys", F.col("key")).between(1, SAMPLED))
-        some = cross_pairs(some, large, block, num, den, some=True)
+        some = cross_pairs(some, large, met, block, num, den, some=True)
         two = lambda x: F.slice(F.sort_array(F.collect_set(F.struct(x.alias("x"), "b"))), 1, 2)["b"]
         some = some.groupBy("a").agg(F.array_union(two(-F.col("alike")), two(F.col("draw"))).alias("b"))
         some = some.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -597,7 +625,7 @@ def classes(docs: DataFrame, width: int, num: int, den: int, block: int, least:
         some = checkpoint(some.join(side("a"), "a").join(side("b"), "b"), narrow=True)
         if not some.isEmpty():
             labels, seeds = merged(some), seeds.unionAll(some.select("a", "b"))
-    found = cross_pairs(members(shared), large, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown, F.lit(1).cast("long").alias("c")))
+    found = cross_pairs(members(shared), large, met, block, num, den).unionAll(firsts.where("m = 2").select("a", "b", unknown, F.lit(1).cast("long").alias("c")))
     pairs = likely(found).join(seeds, ["a", "b"], "left_anti").join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b")
     pairs = checkpoint(pairs.select("a", "b", "text_a", "text_b"), narrow=True)
     if not pairs.isEmpty():

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 
 from tallyforge.llm import decontaminate, jaccard_join
+from tallyforge.llm.common import checkpoint
 
 from .helpers import ODD, SF, contamination, jaccard_groups, twins
 
@@ -99,6 +101,52 @@ def test_a_pair_counts_once_for_all_listed_nodes():
         assert (total == both).all() and (listed == 3 or times.max() == 1)
 
 
+def test_a_crowd_is_visited_under_few_of_its_shingles(spark, monkeypatch):
+    """Members of several components that share nearly all first shingles go to the nodes of some of these, and no link is lost."""
+    rng, rows = random.Random(4), []
+    for g in range(8):  # eight groups that share 115 of 150 words and don't link
+        base = [f"w{i}" if i < 115 else f"g{g}w{i}" for i in range(150)]
+        for _ in range(20):
+            words = list(base)
+            for _ in range(rng.choice((1, 2, 3))):
+                words[rng.randrange(150)] = f"x{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    counts, task_rows = [], jaccard_join.task_rows
+
+    def counted(dealt, num, den):
+        out = task_rows(dealt, num, den)
+        tasks = jaccard_join.node_pairs(dealt, num, den).join(dealt, ["key", "node"])
+        counts.append((out.count(), tasks.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "task_rows", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(documents(spark, rows), block=16, least=16).collect()}
+    assert got == jaccard_groups(rows)
+    assert counts and 0 < counts[0][0] < 0.7 * counts[0][1], counts
+
+
+@pytest.mark.parametrize("listed", [2, 96])
+@pytest.mark.parametrize("block", [8, 30])
+def test_lists_of_any_length_lose_no_link(spark, monkeypatch, listed, block):
+    monkeypatch.setattr(jaccard_join, "LISTED", listed)
+    rows = list(enumerate([t for seed in (3, 8) for t in near_copies(seed)]))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(documents(spark, rows), block=block, least=4).collect()}
+    assert got == jaccard_groups(rows)
+
+
+def test_a_checkpoint_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = files()
+    for narrow in (False, True):
+        assert len(checkpoint(spark.range(1000).repartition(5).groupBy("id").count(), narrow=narrow).collect()) == 1000
+    until = time.time() + 20  # executors are told, not waited for
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_a_doc_id_with_several_texts(spark):
     """A row for each row given, each linked by its own text."""
     near = " ".join(f"w{k}" for k in range(40))
