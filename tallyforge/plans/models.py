@@ -136,12 +136,19 @@ def segment_summaries(chunks: DataFrame, segments: DataFrame, most: int = 3) ->
 
 
 def key_items(summaries: DataFrame) -> DataFrame:
-    """(filing_id, segment, pos, item, span, text): product names in a segment's snippets, each with the sentence that it stands in as evidence; see describe.accepted_items."""
+    """(filing_id, segment, pos, item, span, text): product names in a segment's snippets, each with the sentence that it stands in as evidence; see describe.accepted_items.
+
+    Sentences that say more than the name come first.  A plain capitalised word that only stands as a sentence of its own is
+    no name: its capital is the sentence's.
+    """
     from ..operators import describe as D
 
     items = summaries.select("filing_id", "segment", F.posexplode(D.products(F.col("text"))).alias("pos", "item"), "text")
     sentences = F.split("text", r"(?<=[.!?])\s+")
-    return items.select("filing_id", "segment", "pos", "item", F.get(F.filter(sentences, lambda x: F.contains(x, F.col("item"))), F.lit(0)).alias("span"), "text")
+    found = F.filter(sentences, lambda x: F.contains(x, F.col("item")))
+    telling = F.filter(found, lambda x: F.regexp_replace(x, r"[.!?]+$", "") != F.col("item"))
+    bare = (F.size(found) > 0) & (F.size(telling) == 0) & F.col("item").rlike("^[A-Z][a-z]+$")
+    return items.where(~bare).select("filing_id", "segment", "pos", "item", F.coalesce(F.get(telling, F.lit(0)), F.get(found, F.lit(0))).alias("span"), "text")
 
 
 def sha(prompt: str) -> str:

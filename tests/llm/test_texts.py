@@ -380,6 +380,17 @@ def test_pieces_are_told_apart_by_all_their_bytes():
     assert e.encode(data, at)[0].tolist() == e.tok.encode("a word, an other word", add_special_tokens=False).ids
 
 
+def test_short_pieces_of_one_hash_are_told_apart():
+    e = encoder()
+    data, at = utf8(pa.array(["a word, an other word"]))
+    e.encode(data, at)
+    assert len(e.new.hash) > 3
+    e.new.hash[:] = e.new.hash[0]
+    for text in ("a word, an other word", "other words, a word"):
+        data, at = utf8(pa.array([text]))
+        assert e.encode(data, at)[0].tolist() == e.tok.encode(text, add_special_tokens=False).ids
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(0)
     for n in (1, 2, 3, 10, 1000):

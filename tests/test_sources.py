@@ -203,6 +203,14 @@ def test_key_items_of_a_summary(spark):
     assert D.accepted_items(models.key_items(rows).withColumn("span", F.lit("words that stand nowhere in it")), "filing_id").count() == 0
 
 
+def test_key_items_that_are_whole_sentences(spark):
+    """Names stay in lists of names; a plain word of its own needs another sentence, which is its evidence then."""
+    rows = spark.createDataFrame([(1, "A", "More. GeForce RTX. H100."), (2, "B", "Windows. We sell Windows.")], "filing_id int, segment string, text string")
+    got = {(r["filing_id"], r["item"], r["span"]) for r in models.key_items(rows).collect()}
+    assert not any(item == "More" for _, item, _ in got)
+    assert (1, "H100", "H100.") in got and (2, "Windows", "We sell Windows.") in got
+
+
 def test_more_words_than_literals(spark):
     from tallyforge.operators import joins as J
 
